@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, token_shards, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,19 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = read(spark, sf_dir, "documents")
+    return token_shards.read(token_shards.write(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.classify(read(spark, sf_dir, "pages"))
+    table = warc.read(warc.write(warc.chunks(records)), with_data=False)
+    return table.where("last").select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_classes(read(spark, sf_dir, "documents"))
 
@@ -26,11 +39,23 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_token_shards": op3_token_shards,
+    "op8_warc": op8_warc,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mix_sources": op10_mix_sources,
 }
 
 ORACLE: dict[str, str] = {
+    "op8_warc": """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+    max(page_id) OVER (PARTITION BY html) AS response_id FROM pages
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND response_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND response_id <> page_id THEN response_id END AS refers_to
+FROM p
+""",
     "op9_exact_dedup": r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS raw, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents
