@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, token_shards, warc
+from . import chat, exact_dedup, mixing, quality, token_shards, warc
+from . import storage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +24,28 @@ def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.read(token_shards.write(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.verdicts(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    out = storage.table(chat.format_paths(chat.chains(turns)), "formatted")
+    turn_text = F.array_join(F.transform(chat.parse_turns(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = chat.loss_text(F.col("formatted"), F.col("loss"))
+    return out.select(
+        F.col("tree").alias("conv_id"),
+        F.size(chat.parse_turns(F.col("formatted"))).cast("long").alias("n_turns"),
+        F.sha2(turn_text, 256).alias("turns_sha256"),
+        F.char_length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.classify(read(spark, sf_dir, "pages"))
     table = warc.read(warc.write(warc.chunks(records)), with_data=False)
@@ -39,13 +62,28 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_quality_rules": op2_quality_rules,
     "op3_token_shards": op3_token_shards,
+    "op4_chat_format": op4_chat_format,
     "op8_warc": op8_warc,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mix_sources": op10_mix_sources,
 }
 
 ORACLE: dict[str, str] = {
+    "op4_chat_format": r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
+  CAST(sum(15 + length(regexp_replace(role, '([\\#<:])', '..', 'g')) + length(regexp_replace(text, '([\\#<])', '..', 'g'))) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+""",
     "op8_warc": """
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
