@@ -36,8 +36,8 @@ WINDOW, PLACE_BITS, UNIT = 3, 21, 4096
 
 #: Floors of the standard deviations: of the logarithm of the mean word length, and of
 #: the angles arcsin(sqrt(share)) for symbols, repeated lines and repeated words.
-FLOORS = (0.1, 0.08, 0.1, 0.1)
-SHARE, TAIL, LEAST, STEPS = 0.75, 1e-6, 100, 20
+FLOORS = (0.1, 0.05, 0.2, 0.2)
+SHARE, TAIL, LEAST, STEPS = 0.75, 1e-5, 100, 20
 
 
 def _covered(places: Column) -> Column:
