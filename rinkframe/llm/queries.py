@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing, packing, quality, token_shards, warc
+from . import chat, exact_dedup, jaccard, mixing, packing, quality, token_shards, warc
 from . import storage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,11 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = jaccard.near_duplicates(read(spark, sf_dir, "documents"), width=3, per_cent=90)
+    return out.select("doc_id", "n_shingles", "component_id")
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.classify(read(spark, sf_dir, "pages"))
     table = warc.read(warc.write(warc.chunks(records)), with_data=False)
@@ -70,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_token_shards": op3_token_shards,
     "op4_chat_format": op4_chat_format,
+    "op6_jaccard_join": op6_jaccard_join,
     "op8_warc": op8_warc,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mix_sources": op10_mix_sources,
