@@ -14,7 +14,9 @@ shard; other columns are not read.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +31,8 @@ from .words import mix64
 MAGIC = b"RFTOKMPH"
 #: Bits per remaining key at each level of the hash.
 ROOM = 2.0
-#: Entries of a task's cache of encoded words.
-CACHED_WORDS = 1 << 19
+#: Entries of one generation of a worker's cache of encoded words.
+CACHED_WORDS = 400_000
 #: Documents that are looked up and read at once.
 READ_DOCS = 4096
 
@@ -127,6 +129,10 @@ class Index:
         return cls(np.frombuffer(data, "<i8", n_keys, at + 8 * len(ends)), n_null, ends, levels, slots)
 
 
+#: Encoded parts by tokenizer file, of this task and of earlier ones of the same Python worker: a young and an old generation.
+_caches: dict[tuple[str, str], list[dict[str, bytes]]] = {}
+
+
 class Encoder:
     """Ids of texts by a tokenizers file whose pre-tokenizer never joins across a lone space.
 
@@ -139,20 +145,32 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.dtype, self.cache = dtype, {}
+        self.code = "H" if dtype == "<u2" else "I"
+        self.dtype, self.generations = dtype, _caches.setdefault((tokenizer_file, dtype), [{}, {}])
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        out = [array(self.code, e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        if sys.byteorder == "big":
+            for x in out:
+                x.byteswap()
+        return [x.tobytes() for x in out]
 
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
         end = np.array([end_id], dtype=self.dtype).tobytes()
         parts: list[list[str] | None] = [None if _PAIR.search(t) else _parts(t) for t in texts]
-        new = list({p for x in parts if x for p in x if p not in self.cache})
-        if len(self.cache) + len(new) > CACHED_WORDS:
-            self.cache.clear()
-            new = list({p for x in parts if x for p in x})
-        for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.cache[p] = np.array(e.ids, dtype=self.dtype).tobytes()
-        whole = iter(self.tokenizer.encode_batch_fast([t for t, x in zip(texts, parts, strict=True) if x is None], add_special_tokens=False))
-        get = self.cache.__getitem__
-        return [(b"".join(map(get, x)) if x is not None else np.array(next(whole).ids, dtype=self.dtype).tobytes()) + end for x in parts]
+        young, old = self.generations
+        if len(young) > CACHED_WORDS:
+            self.generations[:] = young, old = {}, young
+        new = []
+        for p in {p for x in parts if x for p in x}.difference(young):
+            if (held := old.get(p)) is not None:
+                young[p] = held
+            else:
+                new.append(p)
+        young.update(zip(new, self._ids(new), strict=True))
+        whole = iter(self._ids([t for t, x in zip(texts, parts, strict=True) if x is None]))
+        get = young.__getitem__
+        return [(b"".join(map(get, x)) if x is not None else next(whole)) + end for x in parts]
 
 
 def _parts(text: str) -> list[str]:
