@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, jaccard, mixing, packing, quality, token_shards, warc
+from . import chat, exact_dedup, jaccard, lattice_lm, mixing, packing, quality, token_shards, warc
 from . import storage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,12 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id")
 
 
+def op7_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return lattice_lm.score(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.classify(read(spark, sf_dir, "pages"))
     table = warc.read(warc.write(warc.chunks(records)), with_data=False)
@@ -76,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op3_token_shards": op3_token_shards,
     "op4_chat_format": op4_chat_format,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_lattice_score": op7_lattice_score,
     "op8_warc": op8_warc,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mix_sources": op10_mix_sources,
