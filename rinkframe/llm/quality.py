@@ -38,6 +38,8 @@ WINDOW, PLACE_BITS, UNIT = 3, 21, 4096
 #: the angles arcsin(sqrt(share)) for symbols, repeated lines and repeated words.
 FLOORS = (0.1, 0.05, 0.2, 0.2)
 SHARE, TAIL, LEAST, STEPS = 0.75, 1e-5, 100, 20
+#: A step that changes no logarithm of a determinant by more is the last.
+SETTLED = 1e-3
 
 
 def _covered(places: Column) -> Column:
@@ -177,7 +179,7 @@ def estimate(points: DataFrame, share: float = SHARE, steps: int = STEPS) -> Dat
         near = near.groupBy(*KEY).agg(F.first("n").alias("n"), F.sum("k").alias("k"), *[F.sum(f"a{i}").alias(f"a{i}") for i in range(N)], *[F.sum(f"b{i}{j}").alias(f"b{i}{j}") for i, j in PAIRS])
         new = storage.table(_moments(near, scale), "step")
         old = params.select(*[F.col(k).alias(f"o_{k}") for k in KEY], F.col("log_det").alias("o_det"))
-        moved = _on(new, old, "o_").where(F.abs(F.col("log_det") - F.col("o_det")) > 1e-9).limit(1).count()
+        moved = _on(new, old, "o_").where(F.abs(F.col("log_det") - F.col("o_det")) > SETTLED).limit(1).count()
         params = new
         if not moved:
             break

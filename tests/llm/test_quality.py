@@ -43,6 +43,7 @@ def by_hand(x, share):
     lower = lambda v: np.sort(v, axis=0)[(len(v) - 1) // 2]
     m = lower(x)
     s = np.diag(np.square(lower(np.abs(x - m)) * 1.4826)) + floors
+    old = np.linalg.slogdet(s + 0)[1] / 2
     for _ in range(quality.STEPS):
         d = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(s), x - m)
         bucket = np.floor(np.log(d + 1e-3) * 64)
@@ -51,6 +52,9 @@ def by_hand(x, share):
             if near.sum() < np.ceil(share * len(x)):
                 near |= bucket == b
         m, s = x[near].mean(0), np.cov(x[near].T, bias=True) * scale + floors
+        old, new = np.linalg.slogdet(s)[1] / 2, old
+        if abs(old - new) <= quality.SETTLED:
+            break
     return np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(s), x - m)
 
 
