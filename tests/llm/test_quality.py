@@ -61,7 +61,7 @@ def by_hand(x, share):
 def test_estimate_against_numpy(spark):
     rng = np.random.default_rng(1)
     x = np.round((rng.normal(size=(400, 4)) @ np.diag([0.3, 0.2, 0.5, 0.1]) + [1.5, 0.3, 0.4, 0.5]) * quality.UNIT).astype(int)
-    x[:40] += 4000
+    x[:40] += 9000
     points = spark.createDataFrame([("en", None, *map(int, r)) for r in x], "g_lang string, g_source string, x0 long, x1 long, x2 long, x3 long")
     params = quality.estimate(points).where("level = 0")
     got = quality._by_group(points.withColumn("level", F.lit(0)), params).select(*quality.X, quality._distance().alias("d")).collect()
