@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, jaccard, lattice_lm, mixing, packing, quality, token_shards, warc
+from . import chat, exact_dedup, jaccard, lattice_lm, mixing, packing, quality, suffix_dedup, token_shards, warc
 from . import storage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,12 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return out.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = jaccard.near_duplicates(read(spark, sf_dir, "documents"), width=3, per_cent=90)
     return out.select("doc_id", "n_shingles", "component_id")
@@ -81,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_token_shards": op3_token_shards,
     "op4_chat_format": op4_chat_format,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_lattice_score": op7_lattice_score,
     "op8_warc": op8_warc,
