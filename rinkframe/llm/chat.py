@@ -47,16 +47,16 @@ def paths(messages: DataFrame) -> DataFrame:
     reach = storage.table(m.withColumn("path", F.array("node")), "reach")
     leaves = reach.select(F.col("tree").alias("t"), F.col("above").alias("p")).where("p is not null").distinct()
     leaves = storage.table(reach.select("tree", "node").join(leaves, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("p")), "left_anti"), "leaves")
-    while reach.where("above is not null").limit(1).count():
-        far = reach.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("above").alias("far"), F.col("path").alias("head"), F.col("score").alias("more"))
-        joined = reach.join(far, F.col("tree").eqNullSafe(F.col("t")) & (F.col("above") == F.col("n")), "left")
-        done = F.col("above").isNull()
+    # Paths that have come to their root are set aside; the others double their reach.
+    done, running = reach.where("above is null"), reach.where("above is not null")
+    while running.limit(1).count():
+        far = done.unionByName(running).select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("above").alias("far"), F.col("path").alias("head"), F.col("score").alias("more"))
+        joined = running.join(far, F.col("tree").eqNullSafe(F.col("t")) & (F.col("above") == F.col("n")))
         # A path that comes upon one of its own messages runs in a cycle and has no root.
-        joined = joined.where(done | ~F.array_contains("path", F.col("n")) & ~F.arrays_overlap("path", "head"))
-        reach = storage.table(
-            joined.select("tree", "node", F.when(~done, F.col("far")).alias("above"), F.when(done, F.col("score")).otherwise(F.col("score") + F.col("more")).alias("score"), F.when(done, F.col("path")).otherwise(F.concat("head", "path")).alias("path")),
-            "reach",
-        )
+        joined = joined.where(~F.array_contains("path", F.col("n")) & ~F.arrays_overlap("path", "head"))
+        joined = storage.table(joined.select("tree", "node", F.col("far").alias("above"), (F.col("score") + F.col("more")).alias("score"), F.concat("head", "path").alias("path")), "reach")
+        done, running = done.unionByName(joined.where("above is null")), joined.where("above is not null")
+    reach = done
     ends = leaves.select(F.col("tree").alias("t"), F.col("node").alias("n"))
     return reach.join(ends, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n")), "left_semi").select("tree", "path", "score")
 
