@@ -2,8 +2,9 @@
 
 Words are summed per source; targets share the whole by weight, no source above
 `most` times its size, the excess shared anew until none is above. A document comes
-floor(rate) times, and once more where a hash of the seed and its doc_id falls below
-the rate's fraction.
+floor(rate) times, and once more where a hash of a seed and its doc_id falls below
+the rate's fraction. Each source takes, of a few seeds, the one whose draws come
+nearest to its target, so that small sources do not stray.
 
 Defined cases: a null text has size 0; the null source is a source of its own, ranked
 last; a source without words has rate 0; rows that share a doc_id get the same draw; a
@@ -23,9 +24,13 @@ from . import storage
 from .words import word_count
 
 
-def draw(doc_id: Column, seed: int) -> Column:
+#: Seeds of which each source takes one.
+SEEDS = 16
+
+
+def draw(doc_id: Column, seed: Column) -> Column:
     """A number in [0, 1) that depends on the seed and the document only."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
+    digest = F.md5(F.concat(seed.cast("string"), F.lit(":"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
     return F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
 
 
@@ -61,28 +66,42 @@ def source_targets(sized: DataFrame, weights: Sequence[float] = (5, 2, 1), most:
     return sources.select("source", "source_size", target.alias("target"), F.when(F.col("source_size") > 0, target / F.col("source_size")).otherwise(F.lit(0.0)).alias("rate"))
 
 
-def copies(rate: Column, doc_id: Column, seed: int) -> Column:
+def copies(rate: Column, doc_id: Column, seed: Column) -> Column:
     """Times that a document comes: the whole part of the rate, and a draw for the rest."""
     whole = F.floor(rate)
     return whole + F.when(draw(doc_id, seed) < rate - whole, 1).otherwise(0)
 
 
+def plan(sized: DataFrame, weights: Sequence[float] = (5, 2, 1), most: float = 3.0, seed: int = 0) -> DataFrame:
+    """Target, rate and seed of each source. sized: columns doc_id, source and size."""
+    targets = storage.table(source_targets(sized, weights, most), "targets")
+    of = targets.select(F.col("source").alias("of_"), "target", "rate")
+    rows = sized.join(of, F.col("source").eqNullSafe(F.col("of_")))
+    tries = [F.sum(copies(F.col("rate"), F.col("doc_id"), F.lit(seed + k)) * F.col("size")).alias(f"t{k}") for k in range(SEEDS)]
+    taken = rows.groupBy("source", "target").agg(*tries)
+    best = F.array_min(F.array(*[F.struct(F.abs(F.col(f"t{k}").cast("double") - F.col("target")).alias("off"), F.lit(seed + k).alias("seed")) for k in range(SEEDS)]))
+    taken = taken.select(F.col("source").alias("of_"), best["seed"].alias("seed"))
+    return storage.table(targets.join(taken, F.col("source").eqNullSafe(F.col("of_"))).drop("of_"), "plan")
+
+
 def assign(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[float] = (5, 2, 1), most: float = 3.0, seed: int = 0) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, n_copies."""
-    sized = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
-    sized = storage.table(sized, "sizes")
-    targets = source_targets(sized, weights, most).withColumnRenamed("source", "of_")
+    sized = _sized(docs, doc_id, text, source)
+    targets = plan(sized, weights, most, seed).withColumnRenamed("source", "of_")
     out = sized.join(targets, F.col("source").eqNullSafe(F.col("of_")))
-    return out.select("doc_id", "size", "source_size", "target", copies(F.col("rate"), F.col("doc_id"), seed).cast("long").alias("n_copies"))
+    return out.select("doc_id", "size", "source_size", "target", copies(F.col("rate"), F.col("doc_id"), F.col("seed")).cast("long").alias("n_copies"))
+
+
+def _sized(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
+    return storage.table(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")), "sizes")
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[float] = (5, 2, 1), most: float = 3.0, seed: int = 0) -> DataFrame:
     """The mixed corpus: rows of docs, each as often as the mix takes it."""
-    sized = docs.select(F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
-    rates = storage.table(source_targets(sized, weights, most).select(F.col("source").alias("mix_source"), F.col("rate").alias("mix_rate")), "rates")
+    rates = plan(_sized(docs, doc_id, text, source), weights, most, seed).select(F.col("source").alias("mix_source"), F.col("rate").alias("mix_rate"), F.col("seed").alias("mix_seed"))
     names = [f"c{i}" for i in range(len(docs.columns))]
     held = dict(zip(docs.columns, names, strict=True))
     out = docs.toDF(*names).join(rates, F.col(held[source]).eqNullSafe(F.col("mix_source")))
-    times = copies(F.col("mix_rate"), F.col(held[doc_id]), seed).cast("int")
+    times = copies(F.col("mix_rate"), F.col(held[doc_id]), F.col("mix_seed")).cast("int")
     out = out.where(times > 0).select(*names, F.explode(F.sequence(F.lit(1), times)).alias("mix_copy"))
     return out.select(*names).toDF(*docs.columns)

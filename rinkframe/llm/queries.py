@@ -148,12 +148,17 @@ WITH d AS (
 ), t AS (
   SELECT source, source_size, least(weight * (SELECT level FROM l), 3e0 * source_size) AS target FROM w
 ), r AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0e0 END AS rate,
-    CAST(('0x' || substr(md5('0:' || coalesce(CAST(d.doc_id AS VARCHAR), 'null')), 1, 12)) AS BIGINT) / 281474976710656e0 AS draw
+  SELECT d.doc_id, d.source, d.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0e0 END AS rate
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), k AS (
+  SELECT r.*, seed, CAST((floor(rate) + CASE WHEN
+    CAST(('0x' || substr(md5(seed || ':' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 12)) AS BIGINT) / 281474976710656e0 < rate - floor(rate)
+    THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
+  FROM r CROSS JOIN range(16) AS seeds(seed)
+), b AS (
+  SELECT source, seed, row_number() OVER (PARTITION BY source ORDER BY abs(CAST(sum(taken) AS DOUBLE) - target), seed) AS place FROM k GROUP BY source, seed, target
 )
-SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
-  CAST((floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
-FROM r
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, taken
+FROM k JOIN b ON k.seed = b.seed AND k.source IS NOT DISTINCT FROM b.source AND b.place = 1
 """,
 }
