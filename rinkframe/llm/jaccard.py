@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from . import storage
 from .components import components
-from .words import arrow_bytes, mix64, shingle_hashes, word_hashes
+from .words import arrow_bytes, mix64, shingle_hashes, slices, word_hashes
 
 #: Rounds in which each bucket has one leader; then what is left is compared pair by pair.
 LEADERS = 6
@@ -136,11 +136,19 @@ def signatures(elements: np.ndarray, at: np.ndarray, bands: Bands) -> tuple[np.n
     return (np.concatenate(marks), np.concatenate(owners)) if marks else (np.empty(0, np.int64), np.empty(0, np.int64))
 
 
+def bounded(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that their texts, column number `text`, are of a few MB together."""
+    for b in batches:
+        _, offsets = arrow_bytes(b.column(text))
+        for low, high in slices(offsets):
+            yield b.slice(low, high - low)
+
+
 def _members(docs: DataFrame, width: int) -> DataFrame:
     """Size and keys of the set of each row of doc_id, mark, text."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in bounded(batches, 2):
             elements, at = text_sets(b.column(2), width)
             k1, k2 = set_keys(elements, at)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.diff(at)), pa.array(k1), pa.array(k2)], names=["doc_id", "mark", "n", "k1", "k2"])
@@ -153,17 +161,16 @@ def _signed(docs: DataFrame, width: int, per_cent: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(per_cent)
-        for b in batches:
-            for low in range(0, len(b), 1024):
-                elements, at = text_sets(b.column(0).slice(low, 1024), width)
-                k1, _ = set_keys(elements, at)
-                # Equal sets of a batch sign once.
-                first = np.sort(np.unique(k1, return_index=True)[1])
-                sizes = np.diff(at)[first]
-                take = np.arange(sizes.sum()) + np.repeat(at[first] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
-                sig, owner = signatures(elements[take], np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), bands)
-                if len(sig):
-                    yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(k1[first][owner])], names=["sig", "k1"])
+        for b in bounded(batches, 0):
+            elements, at = text_sets(b.column(0), width)
+            k1, _ = set_keys(elements, at)
+            # Equal sets of a batch sign once.
+            first = np.sort(np.unique(k1, return_index=True)[1])
+            sizes = np.diff(at)[first]
+            take = np.arange(sizes.sum()) + np.repeat(at[first] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
+            sig, owner = signatures(elements[take], np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), bands)
+            if len(sig):
+                yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(k1[first][owner])], names=["sig", "k1"])
 
     return docs.select("text").mapInArrow(scan, "sig long, k1 long")
 
@@ -172,7 +179,7 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     """The sets themselves: k1, k2, elements (sorted 64-bit numbers)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in bounded(batches, 0):
             elements, at = text_sets(b.column(0), width)
             k1, k2 = set_keys(elements, at)
             yield pa.RecordBatch.from_arrays([pa.array(k1), pa.array(k2), pa.array([elements[x:y].tobytes() for x, y in zip(at[:-1], at[1:], strict=True)], pa.binary())], names=["k1", "k2", "elements"])

@@ -58,23 +58,40 @@ def _powers(n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
+#: Bytes hashed at once, which bounds the arrays; a longer word is taken whole.
+HASH_BYTES = 1 << 20
+
+
 def word_hashes(data: np.ndarray, starts_of_docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the lower-cased words of texts that lie one after another in `data`.
 
     starts_of_docs: offsets of the texts and, last, the end. Returns the hashes in
     order, and for each text the offset of its first word (last: their number).
     """
-    if not len(data):
-        return np.empty(0, np.uint64), np.zeros(len(starts_of_docs), np.int64)
+    hashes, begins, low = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], 0
+    while low < len(data):
+        high = low + HASH_BYTES
+        while high < len(data) and not (gap := np.flatnonzero(_IS_SPACE[data[high : high + HASH_BYTES]])).size:
+            high += HASH_BYTES
+        high = min(len(data), high + int(gap[0])) if high < len(data) else len(data)
+        inner = starts_of_docs[(starts_of_docs > low) & (starts_of_docs < high)] - low
+        found, at = _hashes(data[low:high], inner)
+        hashes.append(found)
+        begins.append(at + low)
+        low = high
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(begins), starts_of_docs).astype(np.int64)
+
+
+def _hashes(data: np.ndarray, inner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of words and where they begin. inner: where further texts begin."""
     space = _IS_SPACE[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
-    inner = starts_of_docs[(starts_of_docs > 0) & (starts_of_docs < len(data))]
     edge[inner] = True
     inside = ~space
     begins = np.flatnonzero(inside & np.concatenate([[True], space[:-1] | edge[1:-1]]))
     ends = np.flatnonzero(inside & np.concatenate([space[1:] | edge[1:-1], [True]])) + 1
     if not len(begins):
-        return np.empty(0, np.uint64), np.zeros(len(starts_of_docs), np.int64)
+        return np.empty(0, np.uint64), begins
     length = ends - begins
     bounds = np.concatenate([[0], begins[1:], [len(data)]])
     place = np.arange(len(data), dtype=np.int64)
@@ -84,8 +101,17 @@ def word_hashes(data: np.ndarray, starts_of_docs: np.ndarray) -> tuple[np.ndarra
     value *= _powers(longest + 1)[np.clip(place, 0, longest)]
     value[space] = 0
     hashes = np.add.reduceat(value, begins)
-    hashes = mix64(hashes + length.astype(np.uint64) * np.uint64(_BASE))
-    return hashes, np.searchsorted(begins, starts_of_docs).astype(np.int64)
+    return mix64(hashes + length.astype(np.uint64) * np.uint64(_BASE)), begins
+
+
+def slices(offsets: np.ndarray, most: int = 1 << 22) -> list[tuple[int, int]]:
+    """Half-open ranges of texts of about `most` bytes together, one text at least."""
+    cuts, low = [], 0
+    while low < len(offsets) - 1:
+        high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + most, "right")) - 1)
+        cuts.append((low, high))
+        low = high
+    return cuts
 
 
 def arrow_bytes(column) -> tuple[np.ndarray, np.ndarray]:

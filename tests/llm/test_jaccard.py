@@ -103,3 +103,17 @@ def test_word_hashes():
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.near_duplicates(docs).count() == 0 and jaccard.keep_one(docs).count() == 0
+
+
+def test_word_hashes_in_pieces(monkeypatch):
+    import pyarrow as pa
+
+    from rinkframe.llm import words
+
+    texts = ["alpha beta " * 9, "x" * 50, "", " gamma", "delta\n" * 20, "y"]
+    data, at = arrow_bytes(pa.array(texts))
+    whole = word_hashes(data, at)
+    monkeypatch.setattr(words, "HASH_BYTES", 16)
+    parts = word_hashes(data, at)
+    assert (whole[0] == parts[0]).all() and (whole[1] == parts[1]).all()
+    assert words.slices(at, 60) == [(0, 1), (1, 4), (4, 5), (5, 6)]
