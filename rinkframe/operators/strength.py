@@ -49,14 +49,15 @@ def thirds(league: League) -> DataFrame:
     division = W.partitionBy("season_id", "division_id")
     r = teams.record(league).withColumn("place", F.row_number().over(division.orderBy(F.desc(F.round("points_pct", 9)), "team_id"))).withColumn("n", F.count("*").over(division))
     cut = F.floor(F.col("n") / 3)
-    return r.select(*KEY, F.when(F.col("place") <= cut, "top").when(F.col("place") > F.col("n") - cut, "bottom").otherwise("middle").alias("third"))
+    return r.select(*KEY, "division_id", F.when(F.col("place") <= cut, "top").when(F.col("place") > F.col("n") - cut, "bottom").otherwise("middle").alias("third"))
 
 
 def against_thirds(league: League) -> DataFrame:
-    """Distinct opponents in each third, and points won against them."""
-    third = thirds(league).select("season_id", F.col("team_id").alias("opponent_id"), "third")
-    met = opponents(league).join(third, ["season_id", "opponent_id"])
-    games = team_games(league.games, scored=False).join(third, ["season_id", "opponent_id"])
+    """Distinct opponents in each third of the team's own division, and points won against them."""
+    third = thirds(league).select("season_id", "division_id", F.col("team_id").alias("opponent_id"), "third")
+    own = league.teams.select(*KEY, "division_id")
+    met = opponents(league).join(own, KEY).join(third, ["season_id", "division_id", "opponent_id"])
+    games = team_games(league.games, scored=False).join(own, KEY).join(third, ["season_id", "division_id", "opponent_id"])
     won = F.coalesce(core.points(F.col("own"), F.col("other")), F.lit(0))
     names = ("top", "middle", "bottom")
     a = met.groupBy(*KEY).agg(*[F.count_if(F.col("third") == t).alias(f"games_{t}") for t in names])

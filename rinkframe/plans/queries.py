@@ -138,10 +138,10 @@ str AS (SELECT t.season_id, t.team_id, coalesce(sos, 0) AS sos, coalesce(n_oppon
 _add("d10_sos", _q(lambda x: _rounded(strength.schedule(x), "sos", "opp_opp", "adjusted")), _SOS + "SELECT season_id, team_id, round(sos, 6) AS sos, n_opponents, round(opp_opp, 6) AS opp_opp, round(sos * 2 / 3 + opp_opp / 3, 6) AS adjusted FROM str")
 _add("d13_sov", _q(lambda x: _rounded(strength.victory(x), "sov")), _SOS + "SELECT season_id, team_id, round(sov, 6) AS sov FROM str")
 _add("d15_strength_ranks", _q(lambda x: strength.ranks(x).select("season_id", "team_id", "sos_rank", "sov_rank")), _SOS + "SELECT season_id, team_id, row_number() OVER (PARTITION BY season_id ORDER BY round(sos, 9) DESC, team_id) AS sos_rank, row_number() OVER (PARTITION BY season_id ORDER BY round(sov, 9) DESC, team_id) AS sov_rank FROM str")
-_THIRD = """, pl AS (SELECT season_id, team_id, row_number() OVER (PARTITION BY season_id, division_id ORDER BY round(points_pct, 9) DESC, team_id) AS place, count(*) OVER (PARTITION BY season_id, division_id) // 3 AS cut, count(*) OVER (PARTITION BY season_id, division_id) AS n FROM record),
-th AS (SELECT season_id, team_id AS opponent_id, CASE WHEN place <= cut THEN 'top' WHEN place > n - cut THEN 'bottom' ELSE 'middle' END AS third FROM pl),
-ga_ AS (SELECT season_id, team_id, CAST(count_if(third = 'top') AS BIGINT) AS games_top, CAST(count_if(third = 'middle') AS BIGINT) AS games_middle, CAST(count_if(third = 'bottom') AS BIGINT) AS games_bottom FROM (SELECT DISTINCT season_id, team_id, opponent_id FROM finals) JOIN th USING (season_id, opponent_id) GROUP BY ALL),
-po AS (SELECT season_id, team_id, third, CASE WHEN own > other THEN 2 WHEN own = other THEN 1 ELSE 0 END AS p FROM finals JOIN th USING (season_id, opponent_id)),
+_THIRD = """, pl AS (SELECT season_id, team_id, division_id, row_number() OVER (PARTITION BY season_id, division_id ORDER BY round(points_pct, 9) DESC, team_id) AS place, count(*) OVER (PARTITION BY season_id, division_id) // 3 AS cut, count(*) OVER (PARTITION BY season_id, division_id) AS n FROM record),
+th AS (SELECT season_id, division_id, team_id AS opponent_id, CASE WHEN place <= cut THEN 'top' WHEN place > n - cut THEN 'bottom' ELSE 'middle' END AS third FROM pl),
+ga_ AS (SELECT season_id, team_id, CAST(count_if(third = 'top') AS BIGINT) AS games_top, CAST(count_if(third = 'middle') AS BIGINT) AS games_middle, CAST(count_if(third = 'bottom') AS BIGINT) AS games_bottom FROM (SELECT DISTINCT season_id, team_id, opponent_id FROM finals) JOIN teams USING (season_id, team_id) JOIN th USING (season_id, division_id, opponent_id) GROUP BY ALL),
+po AS (SELECT season_id, team_id, third, CASE WHEN own > other THEN 2 WHEN own = other THEN 1 ELSE 0 END AS p FROM finals JOIN teams USING (season_id, team_id) JOIN th USING (season_id, division_id, opponent_id)),
 pp_ AS (SELECT season_id, team_id, CAST(coalesce(sum(p) FILTER (third = 'top'), 0) AS BIGINT) AS points_top, CAST(coalesce(sum(p) FILTER (third = 'middle'), 0) AS BIGINT) AS points_middle, CAST(coalesce(sum(p) FILTER (third = 'bottom'), 0) AS BIGINT) AS points_bottom FROM po GROUP BY ALL)
 """
 _add("d14_thirds", _q(strength.against_thirds), _THIRD + "SELECT t.season_id, t.team_id, coalesce(games_top, 0) AS games_top, coalesce(games_middle, 0) AS games_middle, coalesce(games_bottom, 0) AS games_bottom, coalesce(points_top, 0) AS points_top, coalesce(points_middle, 0) AS points_middle, coalesce(points_bottom, 0) AS points_bottom FROM teams t LEFT JOIN ga_ USING (season_id, team_id) LEFT JOIN pp_ USING (season_id, team_id)")
