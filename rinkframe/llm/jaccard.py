@@ -35,7 +35,7 @@ from .components import components
 from .words import arrow_bytes, mix64, shingle_hashes, slices, word_hashes
 
 #: Rounds in which each bucket has one leader; then what is left is compared pair by pair.
-LEADERS = 6
+LEADERS = 4
 
 
 class Bands:
