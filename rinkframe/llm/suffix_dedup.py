@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import storage
@@ -36,7 +36,7 @@ SPAN, SYMBOL = 400, 16
 #: Lengths of grams: of the first buckets, and of those into which hot ones are cut.
 GRAMS = (200, 390, 400)
 #: Classes in a bucket that one group takes, and bytes of segments in a group, about.
-BUCKET_ROWS, GROUP_BYTES = 256, 1 << 20
+BUCKET_ROWS, GROUP_BYTES = 256, 1 << 18
 #: Windows of one segment and bytes of text looked at together, at most.
 SEGMENT_WINDOWS, PIECE = 512, 1 << 20
 
@@ -283,8 +283,8 @@ def _found(texts: DataFrame, level: int = 0) -> tuple[DataFrame, DataFrame]:
         names = hot.dropDuplicates(["h", "s", "m"]).select(F.col("h").alias("k1"), F.col("s").alias("k2"), "m", "weight", "data")
         names = storage.table(names, "hot")
         inner, again = _found(names, level + 1)
-        placed = inner.join(again, ["h", "s", "m"]).select("k1", "k2", "p", F.explode("starts").alias("r")).select("k1", "k2", (F.col("p") + F.col("r.a")).alias("a"), (F.col("p") + F.col("r.b")).alias("b"))
-        placed = placed.groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("starts"))
+        placed = inner.join(again, ["h", "s", "m"]).groupBy("k1", "k2").agg(F.collect_list(_moved(0)).alias("starts"))
+        placed = placed.select("k1", "k2", _joined(F.sort_array(F.flatten("starts"))).alias("starts"))
         found = found.unionByName(names.select("k1", "k2", "m").join(placed, ["k1", "k2"]).select(F.col("k1").alias("h"), F.col("k2").alias("s"), "m", "starts"))
     return seen, storage.table(found, "found")
 
@@ -295,9 +295,25 @@ def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     The spans of a text are in order and may touch or overlap.
     """
     seen, found = _found(_texts(docs, text))
-    rows = seen.join(found, ["h", "s", "m"]).select("k1", "k2", "p", F.explode("starts").alias("r"))
-    rows = rows.select("k1", "k2", F.struct((F.col("p") + F.col("r.a")).alias("a"), (F.col("p") + F.col("r.b") - 1 + SPAN).alias("b")).alias("span"))
-    return rows.groupBy("k1", "k2").agg(F.sort_array(F.collect_set("span")).alias("spans"))
+    rows = seen.join(found, ["h", "s", "m"]).groupBy("k1", "k2").agg(F.collect_set(_moved(SPAN - 1)).alias("spans"))
+    return rows.select("k1", "k2", F.sort_array(F.flatten("spans")).alias("spans"))
+
+
+def _moved(reach: int) -> Column:
+    """Runs of windows of a segment, moved to its place p; `reach` is added to their ends."""
+    return F.transform("starts", lambda r: F.struct((F.col("p") + r["a"]).alias("a"), (F.col("p") + r["b"] + reach).alias("b")))
+
+
+def _joined(runs_: Column) -> Column:
+    """Runs in order, with those that touch made one."""
+    none = F.array().cast("array<struct<a: bigint, b: bigint>>")
+
+    def add(done: Column, x: Column) -> Column:
+        last, n = F.try_element_at(done, F.lit(-1)), F.size(done)
+        longer = F.concat(F.slice(done, F.lit(1), n - 1), F.array(F.struct(last["a"].alias("a"), F.greatest(last["b"], x["b"]).alias("b"))))
+        return F.when((n > 0) & (last["b"] >= x["a"]), longer).otherwise(F.concat(done, F.array(x)))
+
+    return F.aggregate(runs_, none, add)
 
 
 def _texts(docs: DataFrame, text: str) -> DataFrame:
