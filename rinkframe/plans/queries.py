@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import core
 from ..operators import changes, players, quality, resolve, strength, teams
 from ..sources import pseudo
+from ..streaming import events
+from . import corpus
 
 #: The adapter of sources.pseudo as common table expressions.
 BASE = """
@@ -203,6 +205,13 @@ _add("r01_club_name", _t(lambda p: p.select("p_partkey", resolve.club_name(F.con
 _add("r04_jersey_match", _q(lambda x: resolve.match_by_number(players.usual_number(x), players.usual_number(x)).select("season_id", "team_id", "player_id", "matched_id")), _USUAL + "SELECT a.season_id, a.team_id, a.player_id, max(b.player_id) AS matched_id FROM us a JOIN us b USING (season_id, team_id, number) GROUP BY ALL")
 _add("j15_jaccard", _q(lambda x: _rounded(resolve.roster_overlap(x.goals.select(F.concat_ws("_", "season_id", "team_id").alias("set_id"), "scorer_number"), x.penalties.select(F.concat_ws("_", "season_id", "team_id").alias("set_id"), F.col("player_number").alias("scorer_number")), "set_id", "scorer_number"), "overlap")))
 _add("k08_table_counts", lambda spark, sf_dir: quality.table_counts({n: pseudo.read(spark, sf_dir, n) for n in ("orders", "lineitem", "nation", "part")}), "SELECT 'orders' AS name, count(*) AS n_rows FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'nation', count(*) FROM nation UNION ALL SELECT 'part', count(*) FROM part", base=False)
+for _name, _sql in corpus.QUESTIONS.items():
+    _add(f"d34_{_name}", lambda spark, sf_dir, q=_name: corpus.ask(spark, sf_dir, q), _sql)
+_add("o02_top_spenders", _t(lambda o: o.groupBy("o_custkey").agg(F.round(F.sum("o_totalprice"), 2).alias("spent"), F.count("*").alias("n")).orderBy(F.desc("n"), "o_custkey").limit(25).select("o_custkey", "n"), "orders"), "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey ORDER BY n DESC, o_custkey LIMIT 25", base=False)
+_add("d28_rollup", _t(lambda n, c, s: n.select(F.col("n_nationkey").alias("club_id")).join(c.groupBy(F.col("c_nationkey").alias("club_id")).agg(F.count("*").alias("n_customers")), "club_id", "left").join(s.groupBy(F.col("s_nationkey").alias("club_id")).agg(F.count("*").alias("n_suppliers")), "club_id", "left").fillna(0), "nation", "customer", "supplier"), "SELECT n_nationkey AS club_id, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS n_customers, (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey) AS n_suppliers FROM nation", base=False)
+_add("f13_page_paths", _t(lambda p: p.select("page_id", F.parse_url("url", F.lit("HOST")).alias("host"), F.length(F.parse_url("url", F.lit("PATH"))).cast("long").alias("path_chars")), "pages"), "SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host, CAST(length(regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1)) AS BIGINT) AS path_chars FROM pages", base=False)
+_add("s22_contacts", _t(lambda p: resolve.contacts(p, "page_id", "html"), "pages"))
+_add("t_windowed_events", _t(lambda e: events.windowed_counts(e).select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n", F.round("total", 4).alias("total")), "events"), "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL", base=False)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
