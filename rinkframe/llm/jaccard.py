@@ -6,7 +6,8 @@ domain of elements is dealt into first-level parts, more than floor(k / (k2 + 1)
 that in some part at most k2 elements differ; each part has n2 cells, and in that part
 some choice of n2 - k2 cells is free of differences. A signature is the hash of the
 elements in one such choice. `slack` further parts make sure that a similar pair
-shares a signature that is not empty, so that empty ones need not be given out.
+shares a signature that is not empty, so that empty ones need not be given out. The same
+slack lets sets leave out signatures that very many sets share, as of a common passage.
 
 Equal sets are one class from the start. Among the classes that share a signature, the
 one with the most shared signatures leads; the others are compared with it by the
@@ -36,6 +37,8 @@ from .words import arrow_bytes, mix64, shingle_hashes, slices, word_hashes
 
 #: Rounds in which each bucket has one leader; then what is left is compared pair by pair.
 LEADERS = 4
+#: Rows above which a signature is frequent, and left out where that loses nothing.
+FREQUENT = 64
 
 
 class Bands:
@@ -59,16 +62,16 @@ class Bands:
             while len(self.lows) <= g + 1:
                 self.lows.append(self.lows[-1] * 100 // self.per_cent + 1)
             k = self.differ(self.lows[g + 1] - 1)
-            n2 = 3 if k < 16 else 2
-            least = k // 2 + 1
+            n2, free = (3, 1) if k < 16 else (1, 0)
+            least = k // (free + 1) + 1
             slack = 0
-            for t in range(least):
-                # Expected number of parts with an empty choice, in the smallest sets, and a margin.
-                empty = (least + t) * min(1.0, n2 * np.exp(-self.lows[max(g - 1, 0)] * (n2 - 1) / n2 / (least + t)))
-                if empty + 4 * np.sqrt(empty) <= t:
+            for t in range(2 * least + 8):
+                # Parts with an empty choice to be expected in the smallest sets, a margin, and room for frequent signatures.
+                empty = (least + t) * min(1.0, n2 * np.exp(-self.lows[max(g - 1, 0)] * (n2 - free) / n2 / (least + t)))
+                if empty + 3 * np.sqrt(empty) + 0.1 * least + 2 <= t:
                     slack = t
                     break
-            self.plans[g] = (least + slack, n2, n2 - 1, slack) if k else (0, 0, 0, 0)
+            self.plans[g] = (least + slack, n2, free, slack) if k else (0, 0, 0, 0)
         return self.plans[g]
 
 
@@ -100,15 +103,18 @@ def set_keys(elements: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return tuple(mix64(_sums(mix64(elements ^ np.uint64(seed)), owner, len(at) - 1)).view(np.int64) for seed in (0x1B873593CC9E2D51, 0x38495AB5A1B2C3D4))
 
 
-def signatures(elements: np.ndarray, at: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """PartEnum signatures of sets: (signature, number of its set)."""
+def signatures(elements: np.ndarray, at: np.ndarray, bands: Bands) -> tuple[np.ndarray, ...]:
+    """PartEnum signatures of sets: signature, number of its set, band pair, and room.
+
+    room: how many more parts of the set may be left out without losing a similar set.
+    """
     sizes = np.diff(at)
     band = bands.of(sizes)
     spread, value = mix64(elements ^ np.uint64(0x6A09E667F3BCC908)), mix64(elements ^ np.uint64(0xBB67AE8584CAA73B))
-    marks, owners = [], []
+    marks, owners, pairs_, rooms = [], [], [], []
     for shift in (0, 1):
         groups = np.where(sizes > 0, band + shift, -1)
-        for n2 in (2, 3):
+        for n2 in (1, 3):
             plans = {g: bands.plan(int(g)) for g in np.unique(groups[groups >= 0])}
             chosen = np.flatnonzero([g >= 0 and plans[g][1] == n2 for g in groups])
             if not len(chosen):
@@ -124,7 +130,7 @@ def signatures(elements: np.ndarray, at: np.ndarray, bands: Bands) -> tuple[np.n
             count = np.bincount(cell, minlength=base[-1] * n2).reshape(-1, n2)
             holder = np.repeat(np.arange(len(chosen)), parts)
             place = np.arange(base[-1]) - base[holder]
-            choices = list(combinations(range(n2), n2 - 1))
+            choices = list(combinations(range(n2), max(1, n2 - 1)))
             empty = np.stack([count[:, c].sum(1) == 0 for c in choices], 1)
             weak = np.bincount(holder, empty.any(1), len(chosen))
             for k, c in enumerate(choices):
@@ -133,7 +139,9 @@ def signatures(elements: np.ndarray, at: np.ndarray, bands: Bands) -> tuple[np.n
                 give = ~empty[:, k] | (weak > slack)[holder]
                 marks.append(mark[give].view(np.int64))
                 owners.append(chosen[holder[give]])
-    return (np.concatenate(marks), np.concatenate(owners)) if marks else (np.empty(0, np.int64), np.empty(0, np.int64))
+                pairs_.append(groups[owners[-1]])
+                rooms.append((slack - weak.astype(np.int64))[holder[give]])
+    return tuple(np.concatenate(x) if x else np.empty(0, np.int64) for x in (marks, owners, pairs_, rooms))
 
 
 def bounded(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
@@ -157,7 +165,7 @@ def _members(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _signed(docs: DataFrame, width: int, per_cent: int) -> DataFrame:
-    """Signatures of each row's set: sig, k1."""
+    """Signatures of each row's set: sig, k1, pair (of bands), room."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(per_cent)
@@ -168,11 +176,11 @@ def _signed(docs: DataFrame, width: int, per_cent: int) -> DataFrame:
             first = np.sort(np.unique(k1, return_index=True)[1])
             sizes = np.diff(at)[first]
             take = np.arange(sizes.sum()) + np.repeat(at[first] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
-            sig, owner = signatures(elements[take], np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), bands)
+            sig, owner, pair, room = signatures(elements[take], np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), bands)
             if len(sig):
-                yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(k1[first][owner])], names=["sig", "k1"])
+                yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(k1[first][owner]), pa.array(pair, pa.int32()), pa.array(room, pa.int32())], names=["sig", "k1", "pair", "room"])
 
-    return docs.select("text").mapInArrow(scan, "sig long, k1 long")
+    return docs.select("text").mapInArrow(scan, "sig long, k1 long, pair int, room int")
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
@@ -211,8 +219,13 @@ def _links(docs: DataFrame, classes: DataFrame, width: int, per_cent: int) -> Da
     """Links (a, b) between classes c that join all classes which similar pairs join."""
     signed = _signed(docs, width, per_cent)
     # Of each signature the smallest and the largest key: where they are equal, nothing meets.
-    met = storage.table(signed.groupBy("sig").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low <> high").select("sig"), "met")
-    rows = signed.join(met, "sig", "left_semi").distinct().join(classes.select("k1", "c", "n"), "k1").select("sig", "c", "n")
+    met = signed.groupBy("sig").agg(F.min("k1").alias("low"), F.max("k1").alias("high"), F.count("*").alias("many")).where("low <> high")
+    met = storage.table(met.select("sig", (F.col("many") > FREQUENT).alias("frequent")), "met")
+    rows = signed.join(met, "sig").distinct().join(classes.select("k1", "c", "n"), "k1").select("sig", "c", "n", "pair", "room", "frequent")
+    rows = storage.table(rows, "signed")
+    # A set whose frequent signatures are few enough shares another one with each similar set, and leaves them out.
+    count = rows.where("frequent").groupBy("c", "pair").agg(F.count("*").alias("n_frequent"))
+    rows = rows.join(count, ["c", "pair"], "left").where(~F.col("frequent") | (F.col("n_frequent") > F.col("room"))).select("sig", "c", "n")
     rows = storage.table(rows, "buckets")
     degree = rows.groupBy("c").agg(F.count("*").alias("degree"))
     rows = storage.table(rows.join(degree, "c"), "buckets")

@@ -51,8 +51,9 @@ def corpus(rng):
     return rows
 
 
-@pytest.mark.parametrize("width,per_cent", [(3, 90), (5, 80)])
-def test_components_against_all_pairs(spark, width, per_cent):
+@pytest.mark.parametrize("width,per_cent,frequent", [(3, 90, 64), (5, 80, 3)])
+def test_components_against_all_pairs(spark, monkeypatch, width, per_cent, frequent):
+    monkeypatch.setattr(jaccard, "FREQUENT", frequent)
     texts = corpus(np.random.default_rng(width)) + [None, "", " \n", "one", "One", "one two", "Ünï", "ünï"]
     order = np.random.default_rng(9).permutation(len(texts))
     rows = [(int(i), texts[i]) for i in order] + [(None, "lone and null row"), (None, "one"), (3, texts[3])]
@@ -81,7 +82,7 @@ def test_similar_sets_share_a_signature():
                 assert 100 * shared >= per_cent * len(np.union1d(x, y))
                 if len(y) == n == shared:
                     continue
-                sig, owner = jaccard.signatures(np.concatenate([np.sort(x), np.sort(y)]), np.array([0, n, n + len(y)]), bands)
+                sig, owner, _, _ = jaccard.signatures(np.concatenate([np.sort(x), np.sort(y)]), np.array([0, n, n + len(y)]), bands)
                 assert set(sig[owner == 0]) & set(sig[owner == 1]), (n, lose)
 
 
