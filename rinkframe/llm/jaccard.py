@@ -11,8 +11,9 @@ slack lets sets leave out signatures that very many sets share, as of a common p
 
 Equal sets are one class from the start. Among the classes that share a signature, the
 one with the most shared signatures leads; the others are compared with it by the
-exact sizes of sets. Classes that this leaves apart are led by the next, and so on; a
-pair is compared unless links already join it.
+exact sizes of sets. Of those that are near to the leader but that links leave apart,
+the pairs compared are the ones that differ from it alike; those far from it are led by
+the next, and so on. A pair is compared unless links already join it.
 
 Defined cases: a null or wordless text has the empty set and links with nothing; a text
 with fewer words than a shingle has its whole sequence as its only element; a null
@@ -29,14 +30,17 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import storage
 from .components import components
 from .words import arrow_bytes, mix64, shingle_hashes, slices, word_hashes
 
-#: Rounds in which each bucket has one leader; then what is left is compared pair by pair.
+#: Rounds in which each bucket has one leader; then what is far from all of them is compared pair by pair.
 LEADERS = 4
+#: Similarity to a leader, in per cent, from which classes are paired by the elements in which they differ from it.
+NEAR = 50
 #: Rows above which a signature is frequent, and left out where that loses nothing.
 FREQUENT = 64
 
@@ -195,24 +199,65 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("text").mapInArrow(scan, "k1 long, k2 long, elements binary")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
-    """Of pairs (a, b) of classes, those that are similar enough."""
+def _compare(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+    """Of pairs (a, b) of classes, those at least `least` per cent similar.
+
+    a, b, their sizes na and nb, shared (common elements), delta (elements in which they differ).
+    """
     left = sets.select(F.col("c").alias("a"), F.col("elements").alias("ea"))
     right = sets.select(F.col("c").alias("b"), F.col("elements").alias("eb"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "ea", "eb")
+    both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ea", "eb")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
+            good, found = [], []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                u, v = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                z = np.concatenate([u, v])
+                u, v = np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64)
+                z = np.concatenate([u, v]).view(np.uint64)
                 z.sort(kind="stable")
-                shared = int((z[1:] == z[:-1]).sum())
-                good.append(100 * shared >= per_cent * (len(u) + len(v) - shared))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return both.mapInArrow(scan, "a long, b long")
+                same = z[1:] == z[:-1]
+                shared = int(same.sum())
+                good.append(100 * shared >= least * (len(z) - shared))
+                if good[-1]:
+                    alone = np.ones(len(z), bool)
+                    alone[1:] &= ~same
+                    alone[:-1] &= ~same
+                    found.append((len(u), len(v), shared, z[alone].view(np.int64)))
+            kept = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+            sizes = [pa.array([f[k] for f in found], pa.int64()) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([*kept.columns, *sizes, pa.array([f[3] for f in found], pa.list_(pa.int64()))], names=["a", "b", "na", "nb", "shared", "delta"])
+
+    return both.mapInArrow(scan, "a long, b long, na long, nb long, shared long, delta array<long>")
+
+
+def _differing_alike(near: DataFrame, per_cent: int) -> DataFrame:
+    """Pairs (a, b) of the classes next to one leader that may be similar though links do not join them.
+
+    near: a (the leader), b, na, nb, shared, delta, label (of b). Let D be the elements in which
+    a class differs from the leader. Similar classes with disjoint D are each similar to the
+    leader; so a pair that is not yet joined shares elements of D, and where a side is not
+    similar to the leader, so many that they share one of the rarest few (a prefix filter).
+    """
+    more, less = 100 + per_cent, 100 - per_cent
+    n, d = F.col("nb"), F.size("delta")
+    apart = near.groupBy("a").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("a")
+    # Elements of D in common: at least these with any similar class, and with one that is not similar to the leader.
+    any_ = F.greatest(F.lit(1), d - F.floor(n * less / per_cent))
+    other = F.greatest(any_, F.floor((less * (F.col("na") - n) + more * d) / (2 * more)) + 1)
+    rows = near.join(apart, "a", "left_semi").select(F.col("a").alias("leader"), F.col("b").alias("c"), "nb", "label", (100 * F.col("shared") < per_cent * (F.col("na") + n - F.col("shared"))).alias("off"), (d - any_ + 1).alias("p_any"), (d - other + 1).alias("p_off"), F.explode("delta").alias("element"))
+    rows = storage.table(rows, "differing")
+    common = rows.groupBy("leader", "element").agg(F.count("*").alias("many")).where("many > 1")
+    rank = F.row_number().over(W.partitionBy("leader", "c").orderBy("many", "element"))
+    ranked = rows.join(common, ["leader", "element"], "left").withColumn("many", F.coalesce("many", F.lit(1))).withColumn("rank", rank)
+    # What only one class differs in meets nothing.
+    ranked = ranked.where((F.col("many") > 1) & (F.col("rank") <= F.when(F.col("off"), F.greatest("p_any", "p_off")).otherwise(F.col("p_off"))))
+    ranked = storage.table(ranked, "differing")
+    x, y = ranked.where("off").alias("x"), ranked.alias("y")
+    both_off = F.col("y.off") & (F.col("x.rank") <= F.col("x.p_off")) & (F.col("y.rank") <= F.col("y.p_off")) & (F.col("x.c") < F.col("y.c"))
+    one_off = ~F.col("y.off") & (F.col("x.rank") <= F.col("x.p_any"))
+    on = (F.col("x.leader") == F.col("y.leader")) & (F.col("x.element") == F.col("y.element")) & (F.col("x.label") != F.col("y.label"))
+    fits = 100 * F.least("x.nb", "y.nb") >= per_cent * F.greatest("x.nb", "y.nb")
+    return x.join(y, on & fits & (both_off | one_off)).select(F.least("x.c", "y.c").alias("a"), F.greatest("x.c", "y.c").alias("b")).distinct()
 
 
 def _links(docs: DataFrame, classes: DataFrame, width: int, per_cent: int) -> DataFrame:
@@ -232,35 +277,37 @@ def _links(docs: DataFrame, classes: DataFrame, width: int, per_cent: int) -> Da
     near = rows.select("c").distinct().join(classes, "c")
     texts = docs.join(near.select(F.col("doc_id").alias("near_id"), F.col("mark").alias("near_mark")), F.col("doc_id").eqNullSafe(F.col("near_id")) & (F.col("mark") == F.col("near_mark")), "left_semi")
     sets = storage.table(_sets(texts, width).join(near.select("k1", "k2", "c"), ["k1", "k2"]).dropDuplicates(["c"]).select("c", "elements"), "sets")
-    fits = lambda x, y: 100 * F.least(x, y) >= per_cent * F.greatest(x, y)
-    links = tested = None
-    alive = rows.withColumn("led", F.lit(False)).withColumn("label", F.col("c"))
-    for turn in range(LEADERS + 1):
-        if turn < LEADERS:
-            # A bucket's next leader: of the classes that have not led, the one with the most signatures shared.
-            first = alive.where(~F.col("led")).groupBy("sig").agg(F.min(F.struct((-F.col("degree")).alias("d"), "c", "n", "label")).alias("l"))
-            first = storage.table(first.select("sig", F.col("l.c").alias("leader"), F.col("l.n").alias("leader_n"), F.col("l.label").alias("leader_label")), "leaders")
-        else:
-            first = alive.where(~F.col("led")).select("sig", F.col("c").alias("leader"), F.col("n").alias("leader_n"), F.col("label").alias("leader_label"))
-        pairs = alive.where(~F.col("led")).join(first, "sig").where((F.col("c") != F.col("leader")) & (F.col("label") != F.col("leader_label")) & fits(F.col("n"), F.col("leader_n")))
-        pairs = pairs.select(F.least("c", "leader").alias("a"), F.greatest("c", "leader").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = storage.table(pairs, "pairs")
-        good = storage.table(_verify(pairs, sets, per_cent), "links")
+    links = candidates = None
+    alive = rows.withColumn("label", F.col("c"))
+    for _ in range(LEADERS):
+        # A bucket's leader: of its classes, the one with the most signatures shared.
+        first = alive.groupBy("sig").agg(F.min(F.struct((-F.col("degree")).alias("d"), "c", "n")).alias("l"))
+        first = storage.table(first.select("sig", F.col("l.c").alias("a"), F.col("l.n").alias("na")), "leaders")
+        led = alive.withColumnRenamed("c", "b").join(first, "sig").where("a <> b")
+        pairs = storage.table(led.where(100 * F.least("n", "na") >= NEAR * F.greatest("n", "na")).select("a", "b").distinct(), "pairs")
+        near = storage.table(_compare(pairs, sets, NEAR), "near")
+        union = F.col("na") + F.col("nb") - F.col("shared")
+        good = near.where(100 * F.col("shared") >= per_cent * union).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         links = good if links is None else links.union(good)
-        if turn == LEADERS:
-            break
-        tested = pairs if tested is None else tested.union(pairs)
-        labels = components(links).withColumnRenamed("node", "c")
-        alive = alive.drop("label").join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
-        alive = alive.join(first.select("sig", "leader"), "sig").withColumn("led", F.col("led") | (F.col("c") == F.col("leader"))).drop("leader")
-        # Buckets stay while classes that have not led are yet apart.
-        apart = alive.where(~F.col("led")).groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig")
-        alive = storage.table(alive.join(apart, "sig", "left_semi").select("sig", "c", "n", "degree", "led", "label"), "alive")
+        labels = components(links).select(F.col("node").alias("b"), F.col("label").alias("l"))
+        labelled = near.join(labels, "b", "left").withColumn("label", F.coalesce("l", "b"))
+        alike = storage.table(_differing_alike(labelled, per_cent), "pairs")
+        candidates = alike if candidates is None else candidates.union(alike)
+        # Of two similar classes, one nearer to the leader than NEAR has the other within the margin: both are dealt with, or both stay.
+        close = near.where(100 * F.col("shared") >= (100 + NEAR - per_cent) * union).select("a", "b")
+        left = led.select("sig", "a", "b", "n", "degree", "label").join(close, ["a", "b"], "left_anti")
+        left = left.join(labels, "b", "left").select("sig", F.col("b").alias("c"), "n", "degree", F.coalesce("l", "label").alias("label"))
+        left = storage.table(left, "alive")
+        apart = left.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig")
+        alive = storage.table(left.join(apart, "sig", "left_semi"), "alive")
         if not alive.limit(1).count():
             break
-    return links
+    # What is yet apart, and far from every leader.
+    x, y = alive.alias("x"), alive.alias("y")
+    fits = 100 * F.least("x.n", "y.n") >= per_cent * F.greatest("x.n", "y.n")
+    rest = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.c") < F.col("y.c")) & (F.col("x.label") != F.col("y.label")) & fits)
+    pairs = storage.table(candidates.union(rest.select(F.col("x.c").alias("a"), F.col("y.c").alias("b"))).distinct(), "pairs")
+    return links.union(storage.table(_compare(pairs, sets, per_cent).select("a", "b"), "links"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, per_cent: int = 80) -> DataFrame:

@@ -118,3 +118,28 @@ def test_word_hashes_in_pieces(monkeypatch):
     parts = word_hashes(data, at)
     assert (whole[0] == parts[0]).all() and (whole[1] == parts[1]).all()
     assert words.slices(at, 60) == [(0, 1), (1, 4), (4, 5), (5, 6)]
+
+
+@pytest.mark.parametrize("width,per_cent", [(3, 90), (5, 80)])
+def test_copies_that_differ_alike(spark, width, per_cent):
+    """Classes too far from the leader to link with it, some of which link with one another or with the leader's own."""
+    rng = np.random.default_rng(per_cent)
+    words = [f"w{i}" for i in range(3000)]
+
+    def edited(text, n):
+        out = list(text)
+        for k in rng.integers(0, len(out), n):
+            out[k] = str(rng.choice(words))
+        return out
+
+    hub = list(rng.choice(words, 150))
+    copies = [edited(hub, int(rng.integers(0, 11))) for _ in range(110)]
+    copies += [edited(copies[int(rng.integers(0, 110))], int(rng.integers(1, 3))) for _ in range(60)]
+    far = edited(hub, 30)
+    copies += [edited(far, int(rng.integers(0, 7))) for _ in range(40)]
+    rows = [(i, " ".join(c)) for i, c in enumerate(copies)]
+    want = by_hand(rows, width, per_cent)
+    groups = {w[2] for w in want}
+    assert 5 < len(groups) < len(rows) - 30
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=width, per_cent=per_cent).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(want)
