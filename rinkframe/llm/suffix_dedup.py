@@ -3,7 +3,7 @@
 A window is a string of `span` bytes. It takes the smallest hash of its grams of `gram`
 bytes, so that equal windows fall into one bucket; neighbouring windows with one
 smallest hash form a segment. Segments that are equal are one class from the start, and
-a bucket with one occurrence holds no repeat. The classes of the other buckets are dealt
+a bucket with one occurrence, whose windows all differ, holds no repeat. The classes of the other buckets are dealt
 into groups of bounded size. Each group sorts the suffixes of two shards of its
 segments and merges the two transforms by refining their interleave: a pass extends the
 known order by one symbol, and marks where neighbours come to differ. Suffixes that
@@ -55,13 +55,13 @@ _UP, _DOWN = _powers(_BASE, PIECE + SPAN + 1), _powers(_INVERSE, PIECE + SPAN +
 
 
 def segments(data: np.ndarray, gram: int, span: int = SPAN) -> tuple[np.ndarray, ...]:
-    """Segments of one text: bucket hash, content hash, first window, number of windows."""
+    """Segments of one text: bucket hash, content hash, first window, number of windows, whether two of its windows are equal."""
     parts = []
     for low in range(0, max(1, len(data) - span + 1), PIECE):
         part = data[low : low + PIECE + span - 1]
         if len(part) >= span:
             parts.append(_segments(part, gram, span, low))
-    return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.empty(0, np.int64),) * 4
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.empty(0, np.int64),) * 5
 
 
 def _segments(data: np.ndarray, gram: int, span: int, low: int) -> tuple[np.ndarray, ...]:
@@ -83,7 +83,21 @@ def _segments(data: np.ndarray, gram: int, span: int, low: int) -> tuple[np.ndar
         sizes = np.diff(np.append(cut, len(least)))
     end = cut + sizes - 1 + span
     content = mix64((sums[end] - sums[cut]) * _DOWN[cut] ^ (sizes.astype(np.uint64) * _BASE))
-    return least[cut].view(np.int64), content.view(np.int64), cut + low, sizes.astype(np.int64)
+    inner = _inner_repeats((sums[span:] - sums[:-span]) * _DOWN[: n - span + 1], sizes)
+    return least[cut].view(np.int64), content.view(np.int64), cut + low, sizes.astype(np.int64), inner
+
+
+def _inner_repeats(windows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether a segment has two equal windows. windows: hashes of the windows of segments of these sizes."""
+    found = np.zeros(len(sizes), bool)
+    ordered = np.sort(windows)
+    if (ordered[1:] == ordered[:-1]).any():
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        # Stable: the windows of one segment stay neighbours among equal ones.
+        order = np.argsort(windows, kind="stable")
+        same = (windows[order[1:]] == windows[order[:-1]]) & (owner[order[1:]] == owner[order[:-1]])
+        found[owner[order[1:][same]]] = True
+    return found
 
 
 class Shard:
@@ -201,24 +215,24 @@ _FOUND = "h long, s long, m long, starts array<struct<a: long, b: long>>"
 
 
 def _occurrences(texts: DataFrame, gram: int) -> DataFrame:
-    """Segments of texts: k1, k2 (of the text), weight, p, h, s, m. texts: k1, k2, weight, data."""
+    """Segments of texts: k1, k2 (of the text), weight, p, h, s, m, inner. texts: k1, k2, weight, data."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, at = arrow_bytes(b.column(3))
             rows, held, n = [], [], 0
             for i in range(len(b)):
-                h, s, p, m = segments(data[at[i] : at[i + 1]], gram)
+                h, s, p, m, inner = segments(data[at[i] : at[i + 1]], gram)
                 if len(h):
-                    rows.append((np.full(len(h), i), p, h, s, m))
+                    rows.append((np.full(len(h), i), p, h, s, m, inner))
                     n += len(h)
                 if n >= 50_000 or i == len(b) - 1 and rows:
-                    own, p, h, s, m = (np.concatenate(x) for x in zip(*rows, strict=True))
+                    own, p, h, s, m, inner = (np.concatenate(x) for x in zip(*rows, strict=True))
                     own = pa.array(own)
-                    yield pa.RecordBatch.from_arrays([b.column(0).take(own), b.column(1).take(own), b.column(2).take(own), pa.array(p.astype(np.int64)), pa.array(h), pa.array(s), pa.array(m)], names=["k1", "k2", "weight", "p", "h", "s", "m"])
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(own), b.column(1).take(own), b.column(2).take(own), pa.array(p.astype(np.int64)), pa.array(h), pa.array(s), pa.array(m), pa.array(inner)], names=["k1", "k2", "weight", "p", "h", "s", "m", "inner"])
                     rows, n = [], 0
 
-    return texts.select("k1", "k2", "weight", "data").mapInArrow(scan, "k1 long, k2 long, weight long, p long, h long, s long, m long")
+    return texts.select("k1", "k2", "weight", "data").mapInArrow(scan, "k1 long, k2 long, weight long, p long, h long, s long, m long, inner boolean")
 
 
 def _cut(texts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -264,16 +278,17 @@ def _found(texts: DataFrame, level: int = 0) -> tuple[DataFrame, DataFrame]:
     """Occurrences of segments in texts, and the repeated windows of each class: h, s, m, starts."""
     seen = storage.table(_occurrences(texts, GRAMS[level]), "segments")
     best = F.min(F.struct("k1", "k2", "p")).alias("best")
-    classes = seen.groupBy("h", "s", "m").agg(F.sum("weight").alias("weight"), best)
-    classes = storage.table(classes.select("h", "s", "m", "weight", "best.*"), "classes")
-    buckets = classes.groupBy("h").agg(F.sum("weight").alias("total"), F.count("*").alias("kinds"), F.sum(F.col("m") + SPAN).alias("bytes")).where("total > 1")
-    classes = storage.table(classes.join(buckets, "h"), "met")
-    # Where a bucket has one class, all of its windows repeat; nothing is left to compare.
+    classes = seen.groupBy("h", "s", "m").agg(F.sum("weight").alias("weight"), F.max("inner").alias("inner"), best)
+    classes = storage.table(classes.select("h", "s", "m", "weight", "inner", "best.*"), "classes")
+    buckets = classes.groupBy("h").agg(F.sum("weight").alias("total"), F.count("*").alias("kinds"), F.sum(F.col("m") + SPAN).alias("bytes"), F.max("inner").alias("some_inner"))
+    buckets = buckets.where("total > 1 or some_inner").drop("some_inner")
+    classes = storage.table(classes.drop("inner").join(buckets, "h"), "met")
+    # Where a bucket has one class that occurs again, all of its windows repeat; nothing is left to compare.
     whole = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("m").alias("b")))
-    single = classes.where("kinds = 1").select("h", "s", "m", whole.alias("starts"))
+    single = classes.where("kinds = 1 and total > 1").select("h", "s", "m", whole.alias("starts"))
     if level == len(GRAMS) - 1:
         return seen, single
-    several = classes.where("kinds > 1")
+    several = classes.where("kinds > 1 or total = 1")
     bytes_ = several.where(F.col("kinds") <= BUCKET_ROWS).agg(F.coalesce(F.sum(F.col("m") + SPAN), F.lit(0)).alias("n")).first()["n"]
     cut = storage.table(_cut(texts, several).join(several.select("h", "kinds").distinct(), "h"), "cut")
     found = single.unionByName(_merged(cut.where(F.col("kinds") <= BUCKET_ROWS).drop("kinds"), max(1, -(-int(bytes_) // GROUP_BYTES))))

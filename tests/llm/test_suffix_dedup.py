@@ -47,6 +47,15 @@ def test_long_texts_are_cut_into_pieces(spark, monkeypatch):
     check(spark, corpus(np.random.default_rng(5)))
 
 
+@pytest.mark.parametrize("bucket", [256, 1])
+def test_lone_passages_that_repeat_themselves(spark, monkeypatch, bucket):
+    monkeypatch.setattr(sd, "BUCKET_ROWS", bucket)
+    rng = np.random.default_rng(8)
+    word = lambda n: " ".join("".join(rng.choice(list("abcde"), 4)) for _ in range(n))
+    line = word(12) + "\n"
+    check(spark, ["a" * 500, "b" * 401, "c" * 400, word(90) + "=" * 600 + word(90), word(40) + line * 8, (word(24) + "\n") * 7, word(30) + (word(39) + "\n") * 4, word(200)])
+
+
 def test_merge_finds_repeated_windows():
     rng = np.random.default_rng(0)
     base = bytes(rng.choice(list(b"ab"), 3000))
