@@ -285,9 +285,10 @@ def _found(texts: DataFrame, level: int = 0) -> tuple[DataFrame, DataFrame]:
     classes = storage.table(classes.drop("inner").join(buckets, "h"), "met")
     # Where a bucket has one class that occurs again, all of its windows repeat; nothing is left to compare.
     whole = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("m").alias("b")))
-    single = classes.where("kinds = 1 and total > 1").select("h", "s", "m", whole.alias("starts"))
     if level == len(GRAMS) - 1:
-        return seen, single
+        # A bucket is one window here, met more than once; its classes are runs of that window, of whatever lengths.
+        return seen, classes.select("h", "s", "m", whole.alias("starts"))
+    single = classes.where("kinds = 1 and total > 1").select("h", "s", "m", whole.alias("starts"))
     several = classes.where("kinds > 1 or total = 1")
     bytes_ = several.where(F.col("kinds") <= BUCKET_ROWS).agg(F.coalesce(F.sum(F.col("m") + SPAN), F.lit(0)).alias("n")).first()["n"]
     cut = storage.table(_cut(texts, several).join(several.select("h", "kinds").distinct(), "h"), "cut")

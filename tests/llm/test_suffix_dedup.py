@@ -56,6 +56,13 @@ def test_lone_passages_that_repeat_themselves(spark, monkeypatch, bucket):
     check(spark, ["a" * 500, "b" * 401, "c" * 400, word(90) + "=" * 600 + word(90), word(40) + line * 8, (word(24) + "\n") * 7, word(30) + (word(39) + "\n") * 4, word(200)])
 
 
+def test_hot_runs_of_several_lengths(spark, monkeypatch):
+    monkeypatch.setattr(sd, "BUCKET_ROWS", 1)
+    rng = np.random.default_rng(11)
+    word = lambda n: " ".join("".join(rng.choice(list("abcde"), 4)) for _ in range(n))
+    check(spark, [word(90) + "=" * n + word(90) for n in (399, 400, 401, 450, 600, 601, 700, 700, 1500)] + ["-" * 400, "-" * 402, word(100)])
+
+
 def test_merge_finds_repeated_windows():
     rng = np.random.default_rng(0)
     base = bytes(rng.choice(list(b"ab"), 3000))
