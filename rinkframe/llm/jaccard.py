@@ -311,10 +311,11 @@ def _links(docs: DataFrame, classes: DataFrame, width: int, per_cent: int) -> Da
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, per_cent: int = 80) -> DataFrame:
-    """One row per document: doc_id, mark (a hash of its text), n_shingles, component_id.
+    """One row per document: doc_id, mark (a hash of its text), n_shingles, component_id, label.
 
     Two documents link when 100 * intersection >= per_cent * union of their sets of
-    `width`-word shingles; component_id is the smallest doc_id that links lead to.
+    `width`-word shingles; component_id is the smallest doc_id that links lead to, null where
+    none of them has one. label is unique to each component of more than one row, null elsewhere.
     """
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("mark"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     members = storage.table(_members(d, width), "members")
@@ -324,17 +325,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     labels = components(_links(d, classes, width, per_cent))
     joined = classes.join(labels, classes["c"] == labels["node"], "left").withColumn("label", F.coalesce("label", "c")).where((F.col("copies") > 1) | F.col("node").isNotNull())
     lowest = joined.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    of_class = storage.table(joined.join(lowest, "label").select("k1", "k2", "component_id", F.lit(True).alias("shared")), "components")
+    of_class = storage.table(joined.join(lowest, "label").select("k1", "k2", "component_id", "label"), "components")
     out = members.join(of_class, ["k1", "k2"], "left")
-    return out.select("doc_id", "mark", F.col("n").alias("n_shingles"), F.when(F.col("shared"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.when(F.col("shared"), F.struct("component_id")).alias("group"))
+    return out.select("doc_id", "mark", F.col("n").alias("n_shingles"), F.when(F.col("label").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "label")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, per_cent: int = 80) -> DataFrame:
     """The rows of docs without near duplicates: of each component the row with the smallest doc_id stays."""
-    found = storage.table(near_duplicates(docs, doc_id, text, width, per_cent).where(F.col("group").isNotNull()).select("doc_id", "mark", "component_id"), "found")
+    found = storage.table(near_duplicates(docs, doc_id, text, width, per_cent).where(F.col("label").isNotNull()).select("doc_id", "mark", "label"), "found")
     # Of a component's rows, by partial minimum, the first by doc_id and hash stays.
-    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("f"))
-    rows = found.join(first, found["component_id"].eqNullSafe(first["component_id"]))
+    first = found.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("f"))
+    rows = found.join(first, "label")
     stays = F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("mark") == F.col("f.mark"))
     gone = storage.table(rows.where(~stays).select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark")).distinct(), "gone")
     kept = docs.join(gone, F.col(doc_id).eqNullSafe(F.col("gone_id")) & (F.xxhash64(F.col(text)) == F.col("gone_mark")), "left_anti")

@@ -143,3 +143,10 @@ def test_copies_that_differ_alike(spark, width, per_cent):
     assert 5 < len(groups) < len(rows) - 30
     got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=width, per_cent=per_cent).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(want)
+
+
+def test_keep_one_of_each_group_without_ids_of_its_own(spark):
+    text = lambda k, n: " ".join(f"{k}{i}" for i in range(60)) + f" end{n}"
+    rows = [(None, text("a", 0)), (None, text("a", 1)), (None, text("b", 0)), (None, text("b", 1)), (7, text("c", 0)), (8, text("c", 1)), (7, text("d", 0)), (9, text("d", 1)), (None, text("e", 0)), (None, text("f", 0)), (None, text("f", 0))]
+    kept = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.text[0]) for r in kept) == [("7", "c"), ("7", "d"), ("None", "a"), ("None", "b"), ("None", "e"), ("None", "f")]
