@@ -18,7 +18,7 @@ def strip_words(x: Column) -> Column:
 
 
 def match(teams: DataFrame, logos: DataFrame, aliases: DataFrame, least: float = 0.8) -> DataFrame:
-    """Logo file and confidence of each team name: alias 1.0, same name 1.0, stripped name .95, similar name.
+    """Logo file and confidence of each team name: alias 1.0, same name 1.0, alias of the stripped name .95, stripped name .95, name similar to it or to the stripped one.
 
     teams: team_name. logos: logo_name, file. aliases: alias, file.
     """
@@ -27,13 +27,19 @@ def match(teams: DataFrame, logos: DataFrame, aliases: DataFrame, least: float =
     a = first(aliases, resolve.fingerprint(F.col("alias")), "alias_file")
     n = first(logos, resolve.fingerprint(F.col("logo_name")), "name_file")
     b = first(logos, resolve.fingerprint(strip_words(F.col("logo_name"))), "bare_file")
-    t = t.join(a, F.col("key") == F.col("k_alias_file"), "left").join(n, F.col("key") == F.col("k_name_file"), "left").join(b, (F.col("bare") == F.col("k_bare_file")) & (F.col("bare") != ""), "left")
-    exact = F.coalesce("alias_file", "name_file", "bare_file")
-    near = resolve.fuzzy_match(t.where(exact.isNull()).select(F.col("key").alias("name")), logos.select(resolve.fingerprint(F.col("logo_name")).alias("other")), least)
-    near = near.join(n, F.col("other") == F.col("k_name_file")).select("name", F.col("name_file").alias("near_file"), "similarity")
-    out = t.join(near, F.col("key") == F.col("name"), "left")
-    confidence = F.when(F.col("alias_file").isNotNull() | F.col("name_file").isNotNull(), 1.0).when(F.col("bare_file").isNotNull(), 0.95).otherwise(F.round("similarity", 3))
-    how = F.when(F.col("alias_file").isNotNull(), "alias").when(F.col("name_file").isNotNull(), "name").when(F.col("bare_file").isNotNull(), "stripped").when(F.col("near_file").isNotNull(), "similar").otherwise("none")
+    s = first(aliases, resolve.fingerprint(F.col("alias")), "bare_alias")
+    t = t.join(a, F.col("key") == F.col("k_alias_file"), "left").join(s, (F.col("bare") == F.col("k_bare_alias")) & (F.col("bare") != ""), "left").join(n, F.col("key") == F.col("k_name_file"), "left").join(b, (F.col("bare") == F.col("k_bare_file")) & (F.col("bare") != ""), "left")
+    exact = F.coalesce("alias_file", "name_file", "bare_alias", "bare_file")
+    tried = t.where(exact.isNull()).select("key", "bare", F.explode(F.array("key", "bare")).alias("name")).where("name = key or name <> ''").distinct()
+    near = resolve.fuzzy_match(tried.select("name"), logos.select(resolve.fingerprint(F.col("logo_name")).alias("other")), least)
+    near = near.join(n, F.col("other") == F.col("k_name_file")).select("name", "other", F.col("name_file").alias("near_file"), "similarity")
+    # Of the full and the stripped name, the one with the more similar logo counts.
+    best = W.partitionBy("key", "bare").orderBy(F.desc("similarity"), "other")
+    near = tried.join(near, "name").withColumn("nth", F.row_number().over(best)).where("nth = 1")
+    near = near.select(F.col("key").alias("near_key"), F.col("bare").alias("near_bare"), "near_file", "similarity")
+    out = t.join(near, (F.col("key") == F.col("near_key")) & (F.col("bare") == F.col("near_bare")), "left")
+    confidence = F.when(F.col("alias_file").isNotNull() | F.col("name_file").isNotNull(), 1.0).when(exact.isNotNull(), 0.95).otherwise(F.round("similarity", 3))
+    how = F.when(F.col("alias_file").isNotNull(), "alias").when(F.col("name_file").isNotNull(), "name").when(exact.isNotNull(), "stripped").when(F.col("near_file").isNotNull(), "similar").otherwise("none")
     return out.select("team_name", F.coalesce(exact, "near_file").alias("file"), confidence.alias("confidence"), how.alias("how"))
 
 

@@ -143,21 +143,45 @@ def structured_match(clubs: DataFrame, teams: DataFrame) -> DataFrame:
     return hits.withColumn("n", F.count("*").over(W.partitionBy("club_team"))).where("n = 1").drop("n")
 
 
-def _similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for d in batches:
-        yield d.assign(similarity=[SequenceMatcher(None, a, b).ratio() for a, b in zip(d["name"], d["other"], strict=True)])
+def _similar(least: float):
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for d in batches:
+            found = []
+            for a, b in zip(d["name"], d["other"], strict=True):
+                m = SequenceMatcher(None, a, b)
+                # The count of shared characters bounds the similarity from above.
+                found.append(m.ratio() if m.quick_ratio() >= least else 0.0)
+            yield d.assign(similarity=found)
+
+    return score
+
+
+def _characters(x: Column) -> Column:
+    """The characters of a name, each with the number of its occurrence; an empty name has one mark of its own."""
+    n = F.char_length(x)
+    chars = F.transform(F.sequence(F.lit(1), n), lambda i: x.substr(i, F.lit(1)))
+    numbered = lambda c: F.transform(F.sequence(F.lit(1), F.size(F.filter(chars, lambda y: y == c))), lambda k: F.concat(c, k.cast("string")))
+    return F.when(n == 0, F.array(F.lit(""))).when(n > 0, F.flatten(F.transform(F.array_distinct(chars), numbered)))
 
 
 def fuzzy_match(left: DataFrame, right: DataFrame, least: float = 0.8) -> DataFrame:
-    """Best partner of each name by Ratcliff-Obershelp similarity; names meet in blocks of one first letter.
+    """Best partner of each name by Ratcliff-Obershelp similarity, `least` at least, which is above 0.
 
-    left: name. right: other.
+    left: name. right: other. Names of lengths a and b that are similar enough share
+    least * (a + b) / 2 characters, hence at least a * least / (2 - least) of the one's; so they share one of
+    the rarest few of each (a prefix filter), and names that share none need not meet.
     """
-    head = lambda c: F.substring(c, 1, 1)
-    pairs = left.select("name").distinct().join(right.select("other").distinct(), head(F.col("name")) == head(F.col("other")))
-    # The lengths bound the similarity, so most pairs need no comparison.
+    names = left.select(F.col("name").alias("x"), F.lit(True).alias("is_left")).unionByName(right.select(F.col("other").alias("x"), F.lit(False).alias("is_left"))).distinct()
+    marks = names.select("x", "is_left", F.explode(_characters(F.col("x"))).alias("mark"))
+    common = marks.groupBy("mark").agg(F.count("*").alias("many"))
+    rank = F.row_number().over(W.partitionBy("is_left", "x").orderBy("many", "mark"))
+    n = F.char_length("x")
+    shared = F.greatest(F.lit(1), F.ceil(n * F.lit(least / (2 - least)) - F.lit(1e-6)))
+    first = marks.join(common, "mark").withColumn("rank", rank).where(F.col("rank") <= F.greatest(F.lit(1), n - shared + 1))
+    one = first.where("is_left").select(F.col("x").alias("name"), "mark")
+    two = first.where("not is_left").select(F.col("x").alias("other"), "mark")
     a, b = F.char_length("name"), F.char_length("other")
-    pairs = pairs.where(2.0 * F.least(a, b) >= least * (a + b))
-    scored = pairs.mapInPandas(_similar, "name string, other string, similarity double").where(F.col("similarity") >= least)
+    pairs = one.join(two, "mark").where(2.0 * F.least(a, b) >= least * (a + b) - 1e-6).select("name", "other").distinct()
+    scored = pairs.mapInPandas(_similar(least), "name string, other string, similarity double").where(F.col("similarity") >= least)
     best = W.partitionBy("name").orderBy(F.desc("similarity"), "other")
     return scored.withColumn("nth", F.row_number().over(best)).where("nth = 1").drop("nth")

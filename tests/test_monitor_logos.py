@@ -45,3 +45,11 @@ def test_logo_cascade(spark):
     remote = spark.createDataFrame([("wolves", "http://x"), ("Nobody", "http://y")], "team_name string, logo_url string")
     assert {r.found: r.n for r in logos.coverage(logos.manifest(got, remote)).collect()} == {"both": 1, "local": 3, "league": 1}
     assert [r.file for r in logos.search("wolf", table).select(F.col("file")).collect()] == ["w.png"]
+
+
+def test_logo_cascade_tries_the_stripped_name(spark):
+    teams = spark.createDataFrame([("Bruinz U12 Blue",), ("The Bruins",), ("Pack U10 Red",), ("U12",)], "team_name string")
+    table = spark.createDataFrame([("Bruins", "b.png"), ("Kings", "k.png")], "logo_name string, file string")
+    alias = spark.createDataFrame([("pack", "p.png")], "alias string, file string")
+    got = logos.match(teams, table, alias)
+    assert {r.team_name: (r.file, r.confidence, r.how) for r in got.collect()} == {"Bruinz U12 Blue": ("b.png", 0.833, "similar"), "The Bruins": ("b.png", 0.8, "similar"), "Pack U10 Red": ("p.png", 0.95, "stripped"), "U12": (None, None, "none")}

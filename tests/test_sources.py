@@ -98,3 +98,20 @@ def test_stream_equals_batch(spark, tmp_path):
     query = events.windowed_counts(stream).writeStream.format("memory").queryName("counts").outputMode("complete").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert sorted(map(tuple, spark.table("counts").collect())) == sorted(map(tuple, events.windowed_counts(batch).collect()))
+
+
+def test_fuzzy_match_against_all_pairs(spark):
+    import random
+    from difflib import SequenceMatcher
+
+    rng = random.Random(3)
+    names = ["thebruins", "bruins", "kruins", "bruinz", "", "a", "ab", "aab", "x" * 9, "élan", "elan", "wolves", "volves"] + ["".join(rng.choice("abcd1") for _ in range(rng.randint(1, 12))) for _ in range(60)]
+    others = names[1::2] + ["".join(rng.sample(x, len(x))) for x in names[::3]]
+    left, right = spark.createDataFrame([(x,) for x in names], "name string"), spark.createDataFrame([(x,) for x in others], "other string")
+    for least in (0.8, 0.5):
+        want = {}
+        for a in names:
+            found = [(-r, b) for b in others if (r := SequenceMatcher(None, a, b).ratio()) >= least]
+            if found:
+                want[a] = (min(found)[1], -min(found)[0])
+        assert {r.name: (r.other, r.similarity) for r in resolve.fuzzy_match(left, right, least).collect()} == want
