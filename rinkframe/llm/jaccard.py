@@ -9,11 +9,12 @@ elements in one such choice. `slack` further parts make sure that a similar pair
 shares a signature that is not empty, so that empty ones need not be given out. The same
 slack lets sets leave out signatures that very many sets share, as of a common passage.
 
-Equal sets are one class from the start. Among the classes that share a signature, the
-one with the most shared signatures leads; the others are compared with it by the
+Equal sets are one class from the start. Only signatures that occur twice leave the first
+pass. Sets that share fewer of them than their slack demands of any similar pair are set
+aside. Among the classes that share a signature, the one with the most shared signatures leads; the others are compared with it by the
 exact sizes of sets. Of those that are near to the leader but that links leave apart,
 the pairs compared are the ones that differ from it alike; those far from it are led by
-the next, and so on. A pair is compared unless links already join it.
+the next, and so on; what no leader is near to is paired by its rarest elements. A pair is compared unless links already join it.
 
 Defined cases: a null or wordless text has the empty set and links with nothing; a text
 with fewer words than a shingle has its whole sequence as its only element; a null
@@ -29,7 +30,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -37,7 +38,9 @@ from . import storage
 from .components import components
 from .words import arrow_bytes, mix64, shingle_hashes, slices, word_hashes
 
-#: Rounds in which each bucket has one leader; then what is far from all of them is compared pair by pair.
+#: Bytes of texts signed together, and bytes of all texts for each bucket of the space of signatures.
+BLOCK_BYTES, BUCKET_BYTES = 1 << 23, 1 << 24
+#: Rounds in which each bucket has one leader; then what is far from all of them is paired by its rarest elements.
 LEADERS = 4
 #: Similarity to a leader, in per cent, from which classes are paired by the elements in which they differ from it.
 NEAR = 50
@@ -108,14 +111,16 @@ def set_keys(elements: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def signatures(elements: np.ndarray, at: np.ndarray, bands: Bands) -> tuple[np.ndarray, ...]:
-    """PartEnum signatures of sets: signature, number of its set, band pair, and room.
+    """PartEnum signatures of sets: signature, number of its set, shift (0 or 1), and rooms by set and shift.
 
-    room: how many more parts of the set may be left out without losing a similar set.
+    With shift 0 a set signs for its band and the one below, with shift 1 for its band and the
+    one above. Similar sets share more signatures of that pair of bands than the room of either.
     """
     sizes = np.diff(at)
     band = bands.of(sizes)
     spread, value = mix64(elements ^ np.uint64(0x6A09E667F3BCC908)), mix64(elements ^ np.uint64(0xBB67AE8584CAA73B))
-    marks, owners, pairs_, rooms = [], [], [], []
+    marks, owners, shifts = [], [], []
+    rooms = np.zeros((len(sizes), 2), np.int32)
     for shift in (0, 1):
         groups = np.where(sizes > 0, band + shift, -1)
         for n2 in (1, 3):
@@ -136,55 +141,97 @@ def signatures(elements: np.ndarray, at: np.ndarray, bands: Bands) -> tuple[np.n
             place = np.arange(base[-1]) - base[holder]
             choices = list(combinations(range(n2), max(1, n2 - 1)))
             empty = np.stack([count[:, c].sum(1) == 0 for c in choices], 1)
-            weak = np.bincount(holder, empty.any(1), len(chosen))
+            weak = np.bincount(holder, empty.any(1), len(chosen)).astype(np.int64)
+            rooms[chosen, shift] = slack - weak
             for k, c in enumerate(choices):
                 where = mix64(groups[chosen][holder].astype(np.uint64) << np.uint64(40) | place.astype(np.uint64) << np.uint64(4) | np.uint64(k * 4 + n2))
                 mark = mix64(total[:, c].sum(1, dtype=np.uint64) ^ where)
                 give = ~empty[:, k] | (weak > slack)[holder]
-                marks.append(mark[give].view(np.int64))
+                marks.append(mark[give])
                 owners.append(chosen[holder[give]])
-                pairs_.append(groups[owners[-1]])
-                rooms.append((slack - weak.astype(np.int64))[holder[give]])
-    return tuple(np.concatenate(x) if x else np.empty(0, np.int64) for x in (marks, owners, pairs_, rooms))
+                shifts.append(np.full(len(owners[-1]), shift))
+    join = lambda x, kind: np.concatenate(x) if x else np.empty(0, kind)
+    return join(marks, np.uint64), join(owners, np.int64), join(shifts, np.int64), rooms
 
 
-def bounded(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that their texts, column number `text`, are of a few MB together."""
+def bounded(batches: Iterator[pa.RecordBatch], text: int, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that their texts, column number `text`, are of a few MB together, and of 2**15 rows at most."""
     for b in batches:
         _, offsets = arrow_bytes(b.column(text))
-        for low, high in slices(offsets):
-            yield b.slice(low, high - low)
+        for low, high in slices(offsets, most):
+            for at in range(low, high, 1 << 15):
+                yield b.slice(at, min(high - at, 1 << 15))
 
 
-def _members(docs: DataFrame, width: int) -> DataFrame:
-    """Size and keys of the set of each row of doc_id, mark, text."""
+_MEMBER = np.dtype([("doc_id", "<i8"), ("none", "<i8"), ("mark", "<i8"), ("place", "<i8"), ("n", "<i8"), ("k1", "<i8"), ("k2", "<i8"), ("room0", "<i8"), ("room1", "<i8")])
+_MET = "sig long, block long, owner int, shift int, doc_id long, mark long, n long, k1 long, k2 long, room0 int, room1 int"
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in bounded(batches, 2):
-            elements, at = text_sets(b.column(2), width)
-            k1, k2 = set_keys(elements, at)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.diff(at)), pa.array(k1), pa.array(k2)], names=["doc_id", "mark", "n", "k1", "k2"])
 
-    return docs.mapInArrow(scan, "doc_id long, mark long, n long, k1 long, k2 long")
+def _signed(docs: DataFrame, width: int, per_cent: int, n_buckets: int) -> DataFrame:
+    """Signatures that occur twice (sig, block, owner, shift), and a row without sig for each row of docs.
 
-
-def _signed(docs: DataFrame, width: int, per_cent: int) -> DataFrame:
-    """Signatures of each row's set: sig, k1, pair (of bands), room."""
+    Texts are signed in blocks. A block sends one message to each bucket of the space of
+    signatures, with 32 bits of each signature, and the number of its set in the block: six bytes
+    a signature instead of a row. A signature that is repeated inside the block is sent
+    once, so that a bucket takes it once from each block at most; its rows, and the members of
+    the block, travel in a message of their own. Two signatures that agree in their bucket and
+    in 32 bits count as one, which can only bring further candidates.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(per_cent)
-        for b in bounded(batches, 0):
-            elements, at = text_sets(b.column(0), width)
-            k1, _ = set_keys(elements, at)
-            # Equal sets of a batch sign once.
-            first = np.sort(np.unique(k1, return_index=True)[1])
+        for b in bounded(batches, 2, BLOCK_BYTES):
+            elements, at = text_sets(b.column(2), width)
+            k1, k2 = set_keys(elements, at)
+            # Equal sets of a block sign once.
+            first, place = np.unique(k1, return_index=True, return_inverse=True)[1:]
             sizes = np.diff(at)[first]
             take = np.arange(sizes.sum()) + np.repeat(at[first] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
-            sig, owner, pair, room = signatures(elements[take], np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), bands)
-            if len(sig):
-                yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(k1[first][owner]), pa.array(pair, pa.int32()), pa.array(room, pa.int32())], names=["sig", "k1", "pair", "room"])
-
-    return docs.select("text").mapInArrow(scan, "sig long, k1 long, pair int, room int")
+            sig, owner, shift, rooms = signatures(elements[take], np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), bands)
+            members = np.zeros(len(b), _MEMBER)
+            ids = b.column(0)
+            members["doc_id"], members["none"] = ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False)
+            members["mark"], members["place"], members["n"], members["k1"], members["k2"] = b.column(1).to_numpy(), place, np.diff(at), k1, k2
+            members["room0"], members["room1"] = rooms[place, 0], rooms[place, 1]
+            block = int(mix64(_sums(mix64(k1.view(np.uint64) + np.arange(len(k1), dtype=np.uint64)), np.zeros(len(k1), np.int64), 1)).view(np.int64)[0])
+            bucket = (sig >> np.uint64(32)) % np.uint64(n_buckets)
+            key = bucket << np.uint64(32) | sig & np.uint64(0xFFFFFFFF)
+            order = np.argsort(key, kind="stable")
+            key, who = key[order], (owner * 2 + shift)[order].astype(np.uint16)
+            begins = np.append(True, key[1:] != key[:-1])[: len(key)]
+            again = ~begins | np.append(~begins[1:], False)[: len(key)]
+            rows = [(-1, block, key[again].tobytes(), who[again].tobytes(), members.tobytes())]
+            key, who = key[begins], who[begins]
+            cut = np.flatnonzero(np.append(True, (key[1:] ^ key[:-1]) >> np.uint64(32) != 0)[: len(key)])
+            for x, y in zip(cut.tolist(), [*cut[1:].tolist(), len(key)], strict=True):
+                rows.append((int(key[x] >> np.uint64(32)), block, key[x:y].astype(np.uint32).tobytes(), who[x:y].tobytes(), None))
+            types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["bucket", "block", "prints", "who", "members"])
+
+    def met(rows: pa.Table) -> pa.Table:
+        bucket, blocks = rows.column("bucket")[0].as_py(), rows.column("block").to_numpy()
+        who = [np.frombuffer(x.as_buffer(), np.uint16) for x in rows.column("who")]
+        kind = np.uint64 if bucket < 0 else np.uint32
+        prints = np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in rows.column("prints")])
+        block, who = np.repeat(blocks, [len(x) for x in who]), np.concatenate(who)
+        if bucket >= 0:
+            order = np.argsort(prints, kind="stable")
+            same = prints[order[1:]] == prints[order[:-1]]
+            keep = order[np.append(same, False)[: len(order)] | np.append(False, same)[: len(order)]]
+            prints, block, who = prints[keep].astype(np.uint64) | np.uint64(bucket << 32), block[keep], who[keep]
+        found = {"sig": prints.view(np.int64), "block": block, "owner": who >> 1, "shift": who & 1}
+        out = [pa.table({k: pa.array(v.astype(np.int64)) for k, v in found.items()})]
+        if bucket < 0:
+            x = np.concatenate([np.frombuffer(m.as_buffer(), _MEMBER) for m in rows.column("members")])
+            of = np.repeat(blocks, [len(m.as_buffer()) // _MEMBER.itemsize for m in rows.column("members")])
+            table = {k: pa.array(x[k]) for k in ("mark", "n", "k1", "k2", "room0", "room1")}
+            out.append(pa.table(table | {"block": pa.array(of), "owner": pa.array(x["place"]), "doc_id": pa.array(x["doc_id"], mask=x["none"] > 0)}))
+        schema = pa.schema([(c.split()[0], pa.int32() if c.endswith("int") else pa.int64()) for c in _MET.split(", ")])
+        return pa.concat_tables([pa.table({f.name: t[f.name].cast(f.type) if f.name in t.column_names else pa.nulls(len(t), f.type) for f in schema}) for t in out])
+
+    sent = docs.mapInArrow(scan, "bucket long, block long, prints binary, who binary, members binary")
+    own = F.when(F.col("bucket") < 0, F.col("block")).otherwise(F.lit(0)).alias("own")
+    return sent.groupBy("bucket", own).applyInArrow(met, _MET)
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
@@ -260,25 +307,77 @@ def _differing_alike(near: DataFrame, per_cent: int) -> DataFrame:
     return x.join(y, on & fits & (both_off | one_off)).select(F.least("x.c", "y.c").alias("a"), F.greatest("x.c", "y.c").alias("b")).distinct()
 
 
-def _links(docs: DataFrame, classes: DataFrame, width: int, per_cent: int) -> DataFrame:
-    """Links (a, b) between classes c that join all classes which similar pairs join."""
-    signed = _signed(docs, width, per_cent)
-    # Of each signature the smallest and the largest key: where they are equal, nothing meets.
-    met = signed.groupBy("sig").agg(F.min("k1").alias("low"), F.max("k1").alias("high"), F.count("*").alias("many")).where("low <> high")
-    met = storage.table(met.select("sig", (F.col("many") > FREQUENT).alias("frequent")), "met")
-    rows = signed.join(met, "sig").distinct().join(classes.select("k1", "c", "n"), "k1").select("sig", "c", "n", "pair", "room", "frequent")
-    rows = storage.table(rows, "signed")
+def _sharing(rows: DataFrame, need: Column) -> DataFrame:
+    """Rows whose set shares as many signatures as `need` in its pair of bands, and whose signature two classes or more hold."""
+    for _ in range(2):
+        two = rows.groupBy("sig").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("sig")
+        held = rows.join(two, "sig", "left_semi")
+        enough = held.groupBy("c", "shift").agg(F.count("*").alias("many"), F.first(need).alias("need")).where("many >= need").select("c", "shift")
+        held = storage.table(held.join(enough, ["c", "shift"], "left_semi"), "sharing")
+        storage.discard(rows)
+        rows = held
+    return rows
+
+
+def _buckets(met: DataFrame, classes: DataFrame) -> DataFrame:
+    """Classes by signature: sig, c, n, degree (signatures of the class)."""
+    owners = met.where("sig is null and n > 0").select("block", "owner", "k1", "k2", "room0", "room1").distinct().join(classes.select("k1", "k2", "c", "n"), ["k1", "k2"])
+    rows = met.where("sig is not null").select("sig", "block", "owner", "shift").join(owners, ["block", "owner"])
+    rows = rows.select("sig", "c", "n", "shift", F.when(F.col("shift") == 0, F.col("room0")).otherwise(F.col("room1")).alias("room")).distinct()
+    rows = _sharing(storage.table(rows, "signed"), F.greatest(F.lit(1), F.col("room") + 1))
     # A set whose frequent signatures are few enough shares another one with each similar set, and leaves them out.
-    count = rows.where("frequent").groupBy("c", "pair").agg(F.count("*").alias("n_frequent"))
-    rows = rows.join(count, ["c", "pair"], "left").where(~F.col("frequent") | (F.col("n_frequent") > F.col("room"))).select("sig", "c", "n")
-    rows = storage.table(rows, "buckets")
-    degree = rows.groupBy("c").agg(F.count("*").alias("degree"))
-    rows = storage.table(rows.join(degree, "c"), "buckets")
+    frequent = rows.groupBy("sig").agg((F.count("*") > FREQUENT).alias("frequent"))
+    marked = rows.join(frequent, "sig")
+    count = marked.groupBy("c", "shift").agg(F.count_if("frequent").alias("n_frequent"))
+    marked = marked.join(count, ["c", "shift"]).where(~F.col("frequent") | (F.col("n_frequent") > F.col("room")))
+    left = storage.table(marked.select("sig", "c", "n", "shift", F.greatest(F.lit(1), F.col("room") + 1 - F.col("n_frequent")).alias("need")), "buckets")
+    storage.discard(rows)
+    left = _sharing(left, F.col("need"))
+    degree = left.groupBy("c").agg(F.count("*").alias("degree"))
+    out = storage.table(left.join(degree, "c").select("sig", "c", "n", "degree"), "buckets")
+    storage.discard(left)
+    return out
+
+
+def _rare_pairs(left: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
+    """Pairs (a, b) of classes that may be similar and have unlike labels, by a prefix filter over their rarest elements.
+
+    left: c, n, label. Similar classes share one of the n - ceil(per_cent n / 100) + 1 elements
+    of each that come first in one order of all elements; here the order is by how many
+    classes hold them, so that what many share brings no pairs.
+    """
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for low, high in slices(arrow_bytes(b.column(1))[1]):
+                part = b.slice(low, high - low)
+                data, at = arrow_bytes(part.column(1))
+                own = pa.array(np.repeat(np.arange(len(part)), np.diff(at) // 8))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(own), pa.array(np.frombuffer(data.tobytes(), np.int64))], names=["c", "element"])
+
+    rows = storage.table(sets.join(left, "c", "left_semi").select("c", "elements").mapInArrow(spread, "c long, element long"), "elements")
+    common = rows.groupBy("element").agg(F.count("*").alias("many")).where("many > 1")
+    rank = F.row_number().over(W.partitionBy("c").orderBy("many", "element"))
+    held = F.count("*").over(W.partitionBy("c"))
+    ranked = rows.join(common, "element").withColumn("rank", rank).withColumn("held", held).join(left, "c")
+    # Elements of one class alone come first in the order, and meet nothing.
+    first = F.col("n") - F.ceil(F.col("n") * per_cent / 100) + 1 - (F.col("n") - F.col("held"))
+    ranked = storage.table(ranked.where(F.col("rank") <= first).select("c", "n", "label", "element"), "prefixes")
+    x, y = ranked.alias("x"), ranked.alias("y")
+    fits = 100 * F.least("x.n", "y.n") >= per_cent * F.greatest("x.n", "y.n")
+    both = x.join(y, (F.col("x.element") == F.col("y.element")) & (F.col("x.c") < F.col("y.c")) & (F.col("x.label") != F.col("y.label")) & fits)
+    return both.select(F.col("x.c").alias("a"), F.col("y.c").alias("b")).distinct()
+
+
+def _links(docs: DataFrame, met: DataFrame, classes: DataFrame, width: int, per_cent: int) -> DataFrame:
+    """Links (a, b) between classes c that join all classes which similar pairs join."""
+    rows = _buckets(met, classes)
     near = rows.select("c").distinct().join(classes, "c")
     texts = docs.join(near.select(F.col("doc_id").alias("near_id"), F.col("mark").alias("near_mark")), F.col("doc_id").eqNullSafe(F.col("near_id")) & (F.col("mark") == F.col("near_mark")), "left_semi")
     sets = storage.table(_sets(texts, width).join(near.select("k1", "k2", "c"), ["k1", "k2"]).dropDuplicates(["c"]).select("c", "elements"), "sets")
     links = candidates = None
     alive = rows.withColumn("label", F.col("c"))
+    before = rows
     for _ in range(LEADERS):
         # A bucket's leader: of its classes, the one with the most signatures shared.
         first = alive.groupBy("sig").agg(F.min(F.struct((-F.col("degree")).alias("d"), "c", "n")).alias("l"))
@@ -288,7 +387,10 @@ def _links(docs: DataFrame, classes: DataFrame, width: int, per_cent: int) -> Da
         near = storage.table(_compare(pairs, sets, NEAR), "near")
         union = F.col("na") + F.col("nb") - F.col("shared")
         good = near.where(100 * F.col("shared") >= per_cent * union).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        links = good if links is None else links.union(good)
+        good = storage.table(good if links is None else links.union(good), "links")
+        if links is not None:
+            storage.discard(links)
+        links = good
         labels = components(links).select(F.col("node").alias("b"), F.col("label").alias("l"))
         labelled = near.join(labels, "b", "left").withColumn("label", F.coalesce("l", "b"))
         alike = storage.table(_differing_alike(labelled, per_cent), "pairs")
@@ -300,13 +402,14 @@ def _links(docs: DataFrame, classes: DataFrame, width: int, per_cent: int) -> Da
         left = storage.table(left, "alive")
         apart = left.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig")
         alive = storage.table(left.join(apart, "sig", "left_semi"), "alive")
+        storage.discard(before, first, pairs, near, left)
+        before = alive
         if not alive.limit(1).count():
             break
     # What is yet apart, and far from every leader.
-    x, y = alive.alias("x"), alive.alias("y")
-    fits = 100 * F.least("x.n", "y.n") >= per_cent * F.greatest("x.n", "y.n")
-    rest = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.c") < F.col("y.c")) & (F.col("x.label") != F.col("y.label")) & fits)
-    pairs = storage.table(candidates.union(rest.select(F.col("x.c").alias("a"), F.col("y.c").alias("b"))).distinct(), "pairs")
+    if alive.limit(1).count():
+        candidates = candidates.union(_rare_pairs(alive.select("c", "n", "label").distinct(), sets, per_cent))
+    pairs = storage.table(candidates.distinct(), "pairs")
     return links.union(storage.table(_compare(pairs, sets, per_cent).select("a", "b"), "links"))
 
 
@@ -318,11 +421,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     none of them has one. label is unique to each component of more than one row, null elsewhere.
     """
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("mark"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    members = storage.table(_members(d, width), "members")
+    size = d.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
+    met = storage.table(_signed(d, width, per_cent, 1 + int(size) // BUCKET_BYTES), "met")
+    members = met.where("sig is null").select("doc_id", "mark", "n", "k1", "k2")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark"))
     classes = members.where("n > 0").groupBy("k1", "k2", "n").agg(F.count("*").alias("copies"), best.alias("best"))
     classes = storage.table(classes.select("k1", "k2", "n", "copies", F.col("best.doc_id").alias("doc_id"), F.col("best.mark").alias("mark")).withColumn("c", F.monotonically_increasing_id()), "classes")
-    labels = components(_links(d, classes, width, per_cent))
+    labels = components(_links(d, met, classes, width, per_cent))
     joined = classes.join(labels, classes["c"] == labels["node"], "left").withColumn("label", F.coalesce("label", "c")).where((F.col("copies") > 1) | F.col("node").isNotNull())
     lowest = joined.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     of_class = storage.table(joined.join(lowest, "label").select("k1", "k2", "component_id", "label"), "components")

@@ -35,7 +35,15 @@ def table(df: DataFrame, label: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back, which cuts its lineage."""
     path = new_folder(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._folder = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by `table`; nothing that still has to run may read them."""
+    for df in tables:
+        drop(df.sparkSession, df._folder)
 
 
 def drop(spark: SparkSession, path: str) -> None:

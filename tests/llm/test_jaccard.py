@@ -82,8 +82,15 @@ def test_similar_sets_share_a_signature():
                 assert 100 * shared >= per_cent * len(np.union1d(x, y))
                 if len(y) == n == shared:
                     continue
-                sig, owner, _, _ = jaccard.signatures(np.concatenate([np.sort(x), np.sort(y)]), np.array([0, n, n + len(y)]), bands)
-                assert set(sig[owner == 0]) & set(sig[owner == 1]), (n, lose)
+                sig, owner, shift, rooms = jaccard.signatures(np.concatenate([np.sort(x), np.sort(y)]), np.array([0, n, n + len(y)]), bands)
+                given = [{s: set(sig[(owner == k) & (shift == s)]) for s in (0, 1)} for k in (0, 1)]
+                band = bands.of(np.array([n, len(y)]))
+                for g in set(band) | set(band + 1):
+                    at = g - band
+                    if set(at) <= {0, 1}:
+                        # More shared signatures than either set has room, which `_sharing` relies on.
+                        both = given[0][at[0]] & given[1][at[1]]
+                        assert len(both) > max(0, rooms[0, at[0]], rooms[1, at[1]]), (n, lose)
 
 
 def test_word_hashes():
