@@ -8,15 +8,15 @@ tells absent keys from present ones up to the fingerprint's 32 bits.
 Defined cases: a null text is empty and yields the end id only; documents without a
 key come first, in the payload but not in the index; documents that share a key lie
 side by side, ordered by text, and the slot counts them; an empty table gives no
-shard; other columns are not read.
+shard; keys that no shard holds give no row (up to the fingerprint's 32 bits); other
+columns are not read.
 """
 
 from __future__ import annotations
 
+import json
 import re
-import sys
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,18 +26,18 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import files, storage
-from .words import mix64
+from .words import arrow_bytes, mix64, slices
 
 MAGIC = b"RFTOKMPH"
 #: Bits per remaining key at each level of the hash.
 ROOM = 2.0
 #: Entries of one generation of a worker's cache of encoded words.
 CACHED_WORDS = 400_000
+#: Longer parts are not kept.
+CACHED_BYTES = 48
 #: Documents that are looked up and read at once.
 READ_DOCS = 4096
 
-_PAIR = re.compile(r"[\s\x85]{2}")
-
 
 class PerfectHash:
     """A minimal perfect hash over distinct 64-bit keys: one bit array a level."""
@@ -130,54 +130,91 @@ class Index:
 
 
 #: Encoded parts by tokenizer file, of this task and of earlier ones of the same Python worker: a young and an old generation.
-_caches: dict[tuple[str, str], list[dict[str, bytes]]] = {}
+_caches: dict[tuple[str, str], list[dict[bytes, bytes]]] = {}
+
+# Bytes of white space (with the four separators \x1c to \x1f, to be safe), and white space of two and of three bytes in UTF-8.
+_WHITE = np.zeros(256, bool)
+_WHITE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
+_WHITE_2 = np.array([0xC285, 0xC2A0])
+_WHITE_3 = np.array([0xE19A80, *range(0xE28080, 0xE2808B), 0xE280A8, 0xE280A9, 0xE280AF, 0xE2819F, 0xE38080])
+
+
+def lone_spaces(data: np.ndarray) -> np.ndarray:
+    """Places of ASCII white space between two characters that are not white space."""
+    at = np.flatnonzero(_WHITE[data])
+    at = at[(at > 0) & (at < len(data) - 1)]
+    at = at[~_WHITE[data[at - 1]] & ~_WHITE[data[at + 1]]]
+    padded = np.concatenate([np.zeros(3, np.uint8), data, np.zeros(3, np.uint8)]).astype(np.int64)
+    p = at + 3
+    before, after = padded[p - 2] << 8 | padded[p - 1], padded[p + 1] << 8 | padded[p + 2]
+    white = np.isin(before, _WHITE_2) | np.isin(after, _WHITE_2)
+    return at[~(white | np.isin(padded[p - 3] << 16 | before, _WHITE_3) | np.isin(after << 8 | padded[p + 3], _WHITE_3))]
+
+
+def cuts_at_spaces(tokenizer_file: str) -> bool:
+    """Whether a tokenizers file may be given texts cut before lone white space.
+
+    True for byte-level pre-tokenizers with their own pattern and no prefix space: a lone
+    white space begins a piece there, and no pattern looks back. Normalizers and added
+    tokens with white space, or that take it in, could see the cut.
+    """
+    with open(tokenizer_file, encoding="utf-8") as f:
+        spec = json.load(f)
+    pre = spec.get("pre_tokenizer") or {}
+    plain = all(not (t.get("lstrip") or t.get("rstrip") or t.get("single_word") or re.search(r"\s", t["content"])) for t in spec.get("added_tokens") or [])
+    return pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space", True) and not spec.get("normalizer") and plain
 
 
 class Encoder:
-    """Ids of texts by a tokenizers file whose pre-tokenizer never joins across a lone space.
+    """Ids of texts by a tokenizers file; equal parts of texts are encoded once.
 
-    Byte-level vocabularies take a single space together with the word behind it, so a
-    text may be cut before each such space and equal parts be encoded once. Texts in
-    which white space follows white space are encoded whole.
+    Where the file allows it, texts are cut before lone white space, the parts of a batch are
+    dictionary-encoded, and only parts that are new to the worker go to the library.
     """
 
     def __init__(self, tokenizer_file: str, dtype: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.code = "H" if dtype == "<u2" else "I"
-        self.dtype, self.generations = dtype, _caches.setdefault((tokenizer_file, dtype), [{}, {}])
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        out = [array(self.code, e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        if sys.byteorder == "big":
-            for x in out:
-                x.byteswap()
-        return [x.tobytes() for x in out]
-
-    def encode(self, texts: list[str], end_id: int) -> list[bytes]:
-        end = np.array([end_id], dtype=self.dtype).tobytes()
-        parts: list[list[str] | None] = [None if _PAIR.search(t) else _parts(t) for t in texts]
+        self.cuts = cuts_at_spaces(tokenizer_file)
+        self.dtype, self.generations = np.dtype(dtype), _caches.setdefault((tokenizer_file, dtype), [{}, {}])
+
+    def _ids(self, texts: list[bytes]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        return [np.array(e.ids, self.dtype).tobytes() for e in coded]
+
+    def _parts_ids(self, parts: list[bytes]) -> list[bytes]:
         young, old = self.generations
         if len(young) > CACHED_WORDS:
             self.generations[:] = young, old = {}, young
         new = []
-        for p in {p for x in parts if x for p in x}.difference(young):
-            if (held := old.get(p)) is not None:
-                young[p] = held
-            else:
-                new.append(p)
-        young.update(zip(new, self._ids(new), strict=True))
-        whole = iter(self._ids([t for t, x in zip(texts, parts, strict=True) if x is None]))
-        get = young.__getitem__
-        return [(b"".join(map(get, x)) if x is not None else next(whole)) + end for x in parts]
-
-
-def _parts(text: str) -> list[str]:
-    if not text:
-        return []
-    head, *rest = text.split(" ")
-    return [head, *[" " + x for x in rest]] if head else [" " + x for x in rest]
+        for p in parts:
+            if p not in young:
+                if (held := old.get(p)) is not None:
+                    young[p] = held
+                else:
+                    new.append(p)
+        fresh = dict(zip(new, self._ids(new), strict=True))
+        # Long parts seldom come again.
+        young.update((p, x) for p, x in fresh.items() if len(p) <= CACHED_BYTES)
+        return [young[p] if p in young else fresh[p] for p in parts]
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts that lie one after another, an end id behind each, and the numbers of ids by text."""
+        cuts = lone_spaces(data) if self.cuts else np.empty(0, np.int64)
+        bounds = np.unique(np.concatenate([cuts, offsets]))
+        parts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data)])
+        coded = parts.dictionary_encode()
+        ids = [*self._parts_ids(coded.dictionary.to_pylist()), np.array([end_id], self.dtype).tobytes()]
+        size = np.array([len(x) for x in ids], np.int64) // self.dtype.itemsize
+        flat, begin = np.frombuffer(b"".join(ids), self.dtype), np.cumsum(size) - size
+        # An end after the last part of each text.
+        codes = np.insert(coded.indices.to_numpy().astype(np.int64), np.searchsorted(bounds, offsets[1:]), len(ids) - 1)
+        many = size[codes]
+        total = np.concatenate([[0], np.cumsum(many)])
+        out = flat[np.arange(total[-1]) + np.repeat(begin[codes] - total[:-1], many)]
+        ends = total[np.flatnonzero(codes == len(ids) - 1) + 1]
+        return out, np.diff(np.concatenate([[0], ends]))
 
 
 def write(docs: DataFrame, tokenizer_file: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 0) -> DataFrame:
@@ -194,7 +231,7 @@ def write(docs: DataFrame, tokenizer_file: str, doc_id: str = "doc_id", text: st
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder, keys, sizes, n_null, out, path = None, [], [], 0, None, ""
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            ids = batch.column(0)
             if out is None:
                 from tokenizers import Tokenizer
 
@@ -204,21 +241,23 @@ def write(docs: DataFrame, tokenizer_file: str, doc_id: str = "doc_id", text: st
                 out = files.create(path + ".bin")
             n_null += ids.null_count
             keys.append(ids.drop_null().to_numpy(zero_copy_only=False).astype(np.int64))
-            for at in range(0, len(texts), 256):
-                coded = encoder.encode([t or "" for t in texts[at : at + 256]], end_id)
-                sizes += [len(x) for x in coded]
-                out.write(b"".join(coded))
+            data, at = arrow_bytes(batch.column(1))
+            for low, high in slices(at):
+                coded, many = encoder.encode(data[at[low] : at[high]], at[low : high + 1] - at[low], end_id)
+                sizes.append(many)
+                out.write(coded.tobytes())
         if out is not None:
             out.close()
-            width = int(encoder.dtype[-1])
-            ends = np.concatenate([[0], np.cumsum(np.array(sizes, np.int64) // width)]).astype(np.int64)
+            width, held = encoder.dtype.itemsize, np.concatenate(keys)
+            ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int64)
             with files.create(path + ".idx") as index:
-                index.write(Index(np.concatenate(keys), n_null, ends).to_bytes())
-            yield pa.RecordBatch.from_pydict({"shard": [TaskContext.get().partitionId()], "path": [path], "width": [width], "n_docs": [len(sizes)], "n_tokens": [int(ends[-1])]})
+                index.write(Index(held, n_null, ends).to_bytes())
+            last = int(held[-1]) if len(held) else None
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((TaskContext.get().partitionId(), path, width, len(ends) - 1, int(ends[-1]), last), (pa.int64(), pa.string(), *[pa.int64()] * 4), strict=True)], names=["shard", "path", "width", "n_docs", "n_tokens", "last_key"])
 
     key = F.col("doc_id").asc_nulls_first()
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).repartitionByRange(n, key).sortWithinPartitions(key, "text")
-    return storage.table(rows.mapInArrow(shard, "shard long, path string, width long, n_docs long, n_tokens long"), "manifest")
+    return storage.table(rows.mapInArrow(shard, "shard long, path string, width long, n_docs long, n_tokens long, last_key long"), "manifest")
 
 
 def with_starts(manifest: DataFrame) -> DataFrame:
@@ -267,3 +306,36 @@ def read(manifest: DataFrame) -> DataFrame:
     rows = with_starts(manifest)
     n = max(1, int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return rows.repartition(n).mapInArrow(look, "doc_id long, start long, n_tokens long, ids_crc32 long")
+
+
+def get(manifest: DataFrame, keys: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Documents by key, one row for each document of each distinct key that the shards hold: doc_id, ids.
+
+    Keys find their shard by its last key (one number a shard, sorted, in the task), then
+    their slot in the shard's hash; only their documents' ids are read from the payload.
+    """
+    shards = manifest.where("last_key is not null").orderBy("last_key").select("shard", "path", "width", "last_key").toPandas()
+    last, paths, widths = shards["last_key"].to_numpy(np.int64), shards["path"].tolist(), shards["width"].tolist()
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = np.searchsorted(last, b.column(0).to_numpy())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(at)], names=["doc_id", "at"]).filter(pa.array(at < len(last)))
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, held = None, -1
+        for b in batches:
+            found, ids = [], []
+            for key_, at in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if at != held:
+                    index, held = read_index(paths[at]), at
+                first, n = (int(x[0]) for x in index.lookup(np.array([key_])))
+                for d in range(first, first + n):
+                    found.append(key_)
+                    ids.append(read_ids(paths[at], widths[at], int(index.ends[d]), int(index.ends[d + 1])).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(ids, pa.list_(pa.int64()))], names=["doc_id", "ids"])
+
+    wanted = keys.select(F.col(key).cast("long").alias("doc_id")).where("doc_id is not null").distinct()
+    # Keys of one shard come one after another, so that a task reads an index once.
+    routed = wanted.mapInArrow(route, "doc_id long, at long").repartitionByRange("at", "doc_id").sortWithinPartitions("at", "doc_id")
+    return routed.mapInArrow(look, "doc_id long, ids array<long>")

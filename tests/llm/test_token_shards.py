@@ -41,6 +41,34 @@ def test_empty_table(spark):
     assert token_shards.read(token_shards.write(docs, FILE)).count() == 0
 
 
-@pytest.mark.parametrize("text", TEXTS)
-def test_encoder_equals_library(text):
-    assert np.frombuffer(token_shards.Encoder(FILE, "<u2").encode([text or ""], 0)[0], "<u2").tolist() == direct(text).tolist()
+def encoded(texts, file):
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])]).astype(np.int64)
+    ids, many = token_shards.Encoder(file, "<u4").encode(data, offsets, 0)
+    return [x.tolist() for x in np.split(ids, np.cumsum(many)[:-1])]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_equals_library(name):
+    file = public_tokenizers.path(name)
+    whole = Tokenizer.from_file(file)
+    rng = np.random.default_rng(5)
+    atoms = [" ", " ", " ", "\n", "\t", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", "\u1680", "a", "B", "é", "à", "’", "'s", "12", "<|endoftext|>", "漢", "🙂", "-", "word", "voilà"]
+    texts = [t or "" for t in TEXTS] + ["".join(rng.choice(atoms, int(rng.integers(0, 40)))) for _ in range(3000)]
+    got = encoded(texts, file)
+    want = [e.ids + [0] for e in whole.encode_batch(texts, add_special_tokens=False)]
+    assert got == want
+    assert encoded(["", ""], file) == [[0], [0]]
+
+
+def test_cuts_only_where_the_file_allows():
+    assert token_shards.cuts_at_spaces(FILE)
+    assert len(token_shards.lone_spaces(np.frombuffer("a b  c\u00a0 d\ne f\u2003 g".encode(), np.uint8))) == 3
+
+
+def test_get_by_key(spark):
+    rows = [(i * 3, f"document number {i}") for i in range(400)] + [(9, "again"), (None, "no key")]
+    manifest = token_shards.write(spark.createDataFrame(rows, "doc_id long, text string"), FILE)
+    keys = spark.createDataFrame([(i,) for i in [*range(-5, 1300), None, 9, 10**12]], "k long")
+    got = token_shards.get(manifest, keys, "k").collect()
+    assert sorted((r.doc_id, r.ids) for r in got) == sorted((i, direct(t).tolist()) for i, t in rows if i is not None)
