@@ -18,6 +18,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +32,8 @@ from .words import arrow_bytes, mix64, slices
 MAGIC = b"RFTOKMPH"
 #: Bits per remaining key at each level of the hash.
 ROOM = 2.0
-#: Entries of one generation of a worker's cache of encoded words.
-CACHED_WORDS = 400_000
-#: Longer parts are not kept.
-CACHED_BYTES = 48
+#: Encoded parts that a worker keeps, before it begins anew, and bytes of texts encoded together.
+CACHED_WORDS, ENCODED_BYTES = 800_000, 1 << 23
 #: Documents that are looked up and read at once.
 READ_DOCS = 4096
 
@@ -129,8 +128,26 @@ class Index:
         return cls(np.frombuffer(data, "<i8", n_keys, at + 8 * len(ends)), n_null, ends, levels, slots)
 
 
-#: Encoded parts by tokenizer file, of this task and of earlier ones of the same Python worker: a young and an old generation.
-_caches: dict[tuple[str, str], list[dict[bytes, bytes]]] = {}
+class _Pool:
+    """Ids of encoded parts, one after another, and the number of each part."""
+
+    def __init__(self, dtype: np.dtype):
+        self.numbers: dict[bytes, int] = {}
+        self.ids, self.ends = np.empty(1 << 20, dtype), np.zeros(1 << 18, np.int64)
+
+    def add(self, parts: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n, low = len(self.numbers), int(self.ends[len(self.numbers)])
+        while low + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        while n + len(parts) >= len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.ids[low : low + len(ids)] = ids
+        self.ends[n + 1 : n + 1 + len(parts)] = low + np.cumsum(sizes)
+        self.numbers.update(zip(parts, range(n, n + len(parts)), strict=True))
+
+
+#: Encoded parts by tokenizer file, kept for later tasks of the same Python worker; begun anew when full.
+_pools: dict[tuple[str, str], _Pool] = {}
 
 # Bytes of white space (with the four separators \x1c to \x1f, to be safe), and white space of two and of three bytes in UTF-8.
 _WHITE = np.zeros(256, bool)
@@ -141,9 +158,11 @@ _WHITE_3 = np.array([0xE19A80, *range(0xE28080, 0xE2808B), 0xE280A8, 0xE280A9, 0
 
 def lone_spaces(data: np.ndarray) -> np.ndarray:
     """Places of ASCII white space between two characters that are not white space."""
-    at = np.flatnonzero(_WHITE[data])
+    white = _WHITE[data]
+    # The four separators keep cuts away, but are no white space to every pattern.
+    at = np.flatnonzero(white & ((data < 28) | (data == 32)))
     at = at[(at > 0) & (at < len(data) - 1)]
-    at = at[~_WHITE[data[at - 1]] & ~_WHITE[data[at + 1]]]
+    at = at[~white[at - 1] & ~white[at + 1]]
     padded = np.concatenate([np.zeros(3, np.uint8), data, np.zeros(3, np.uint8)]).astype(np.int64)
     p = at + 3
     before, after = padded[p - 2] << 8 | padded[p - 1], padded[p + 1] << 8 | padded[p + 2]
@@ -177,43 +196,62 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.cuts = cuts_at_spaces(tokenizer_file)
-        self.dtype, self.generations = np.dtype(dtype), _caches.setdefault((tokenizer_file, dtype), [{}, {}])
-
-    def _ids(self, texts: list[bytes]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in coded]
-
-    def _parts_ids(self, parts: list[bytes]) -> list[bytes]:
-        young, old = self.generations
-        if len(young) > CACHED_WORDS:
-            self.generations[:] = young, old = {}, young
-        new = []
-        for p in parts:
-            if p not in young:
-                if (held := old.get(p)) is not None:
-                    young[p] = held
-                else:
-                    new.append(p)
-        fresh = dict(zip(new, self._ids(new), strict=True))
-        # Long parts seldom come again.
-        young.update((p, x) for p, x in fresh.items() if len(p) <= CACHED_BYTES)
-        return [young[p] if p in young else fresh[p] for p in parts]
+        self.key, self.dtype = (tokenizer_file, dtype), np.dtype(dtype)
+        if self.cuts:
+            # A character of a byte-level token stands for one byte; added tokens are plain text.
+            added = {i: len(t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+            lengths = {i: len(t) for t, i in self.tokenizer.get_vocab().items()} | added
+            self.bytes_of = np.array([lengths.get(i, 0) for i in range(max(lengths) + 1)], np.int64)
+
+    def _coded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts, one after another, and their numbers."""
+        coded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(coded), self.dtype), np.fromiter(map(len, coded), np.int64, len(coded))
+
+    def _pool(self, parts: list[bytes], inner: np.ndarray, end_id: int) -> tuple[_Pool, np.ndarray]:
+        """The pool and in it the numbers of parts, all of which it holds then; last the number of the end id.
+
+        inner: which parts lie between cuts. They may follow one another in one text, and the
+        lengths of the tokens tell whose they are.
+        """
+        pool = _pools.get(self.key)
+        if pool is None or len(pool.numbers) > CACHED_WORDS:
+            pool = _pools[self.key] = _Pool(self.dtype)
+        new = [(p, i) for p, i in zip(parts, inner.tolist(), strict=True) if p not in pool.numbers]
+        between, others = [p for p, i in new if i], [p for p, i in new if not i]
+        joined = [b"".join(between[at : at + 1000]).decode() for at in range(0, len(between), 1000)]
+        if between:
+            ids, _ = self._coded(joined)
+            last = np.cumsum(np.fromiter(map(len, between), np.int64, len(between)))
+            pool.add(between, ids, np.diff(np.searchsorted(np.cumsum(self.bytes_of[ids]), last, "right"), prepend=0))
+        pool.add(others, *self._coded([p.decode() for p in others]))
+        # No part is one of this form.
+        end = b"\xff%d" % end_id
+        if end not in pool.numbers:
+            pool.add([end], np.array([end_id], self.dtype), np.ones(1, np.int64))
+        return pool, np.fromiter(map(pool.numbers.__getitem__, [*parts, end]), np.int64, len(parts) + 1)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts that lie one after another, an end id behind each, and the numbers of ids by text."""
-        cuts = lone_spaces(data) if self.cuts else np.empty(0, np.int64)
-        bounds = np.unique(np.concatenate([cuts, offsets]))
-        parts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data)])
+        edge = np.zeros(len(data) + 1, bool)
+        edge[offsets] = True
+        if self.cuts:
+            edge[lone_spaces(data)] = True
+        bounds = np.flatnonzero(edge)
+        parts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(data)])
         coded = parts.dictionary_encode()
-        ids = [*self._parts_ids(coded.dictionary.to_pylist()), np.array([end_id], self.dtype).tobytes()]
-        size = np.array([len(x) for x in ids], np.int64) // self.dtype.itemsize
-        flat, begin = np.frombuffer(b"".join(ids), self.dtype), np.cumsum(size) - size
+        which, next_ = coded.indices.to_numpy(), np.searchsorted(bounds, offsets)
+        inner = np.full(len(coded.dictionary), self.cuts)
+        at_edge = np.concatenate([next_, next_ - 1])
+        inner[which[at_edge[(at_edge >= 0) & (at_edge < len(which))]]] = False
+        pool, numbers = self._pool(coded.dictionary.to_pylist(), inner, end_id)
         # An end after the last part of each text.
-        codes = np.insert(coded.indices.to_numpy().astype(np.int64), np.searchsorted(bounds, offsets[1:]), len(ids) - 1)
-        many = size[codes]
+        codes = numbers[np.insert(which, next_[1:], len(numbers) - 1)]
+        begin = pool.ends[codes]
+        many = pool.ends[codes + 1] - begin
         total = np.concatenate([[0], np.cumsum(many)])
-        out = flat[np.arange(total[-1]) + np.repeat(begin[codes] - total[:-1], many)]
-        ends = total[np.flatnonzero(codes == len(ids) - 1) + 1]
+        out = pool.ids[np.arange(total[-1]) + np.repeat(begin - total[:-1], many)]
+        ends = total[np.flatnonzero(codes == numbers[-1]) + 1]
         return out, np.diff(np.concatenate([[0], ends]))
 
 
@@ -242,7 +280,7 @@ def write(docs: DataFrame, tokenizer_file: str, doc_id: str = "doc_id", text: st
             n_null += ids.null_count
             keys.append(ids.drop_null().to_numpy(zero_copy_only=False).astype(np.int64))
             data, at = arrow_bytes(batch.column(1))
-            for low, high in slices(at):
+            for low, high in slices(at, ENCODED_BYTES):
                 coded, many = encoder.encode(data[at[low] : at[high]], at[low : high + 1] - at[low], end_id)
                 sizes.append(many)
                 out.write(coded.tobytes())

@@ -54,7 +54,7 @@ def test_encoder_equals_library(name):
     whole = Tokenizer.from_file(file)
     rng = np.random.default_rng(5)
     atoms = [" ", " ", " ", "\n", "\t", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", "\u1680", "a", "B", "é", "à", "’", "'s", "12", "<|endoftext|>", "漢", "🙂", "-", "word", "voilà"]
-    texts = [t or "" for t in TEXTS] + ["".join(rng.choice(atoms, int(rng.integers(0, 40)))) for _ in range(3000)]
+    texts = [t or "" for t in TEXTS] + ["".join(rng.choice(atoms, int(rng.integers(0, 40)))) for _ in range(3000)] + ["a-\x1c-b -\x1d-"]
     got = encoded(texts, file)
     want = [e.ids + [0] for e in whole.encode_batch(texts, add_special_tokens=False)]
     assert got == want
