@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import storage
-from .words import squeeze
+from .words import set_aside, squeeze
 
 #: Fingerprints in one filter while it is built, which bounds a task's memory.
 FILTER_ROWS = 1 << 20
@@ -178,14 +178,12 @@ def drop_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     best = F.col("best")
     tied = (best["less"] == -F.col("n_chars")) & best["doc_id"].eqNullSafe(F.col("doc_id"))
     gone = rows.where(~tied).select(F.col("doc_id").alias("gone_id"), F.col("sha").alias("gone_sha"), F.col("n_chars").alias("gone_chars")).distinct()
-    norm, raw = squeeze(F.col(text)), F.coalesce(F.col(text), F.lit(""))
-    same = F.col(doc_id).eqNullSafe(F.col("gone_id")) & (F.unhex(F.sha2(norm, 256)) == F.col("gone_sha")) & (F.char_length(raw) == F.col("gone_chars"))
-    kept = docs.join(gone, same, "left_anti")
+    d, (i, t) = set_aside(docs, doc_id, text)
+    sha, raw = F.sha2(squeeze(F.col(t)), 256), F.coalesce(F.col(t), F.lit(""))
+    same = F.col(i).eqNullSafe(F.col("gone_id")) & (F.unhex(sha) == F.col("gone_sha")) & (F.char_length(raw) == F.col("gone_chars"))
+    kept = d.join(gone, same, "left_anti")
     if rows.where(tied & (best["rid"] != F.col("rid"))).limit(1).count():
         # Rows with one doc_id and one text repeat; only then does a second pass remove all but one.
-        n = len(docs.columns)
-        names = [f"c{i}" for i in range(n)]
-        at = docs.columns.index(doc_id), docs.columns.index(text)
-        d = kept.toDF(*names).withColumns({"id_": F.col(names[at[0]]), "sha_": F.sha2(squeeze(F.col(names[at[1]])), 256), "len_": F.char_length(F.coalesce(F.col(names[at[1]]), F.lit("")))})
-        kept = d.dropDuplicates(["id_", "sha_", "len_"]).select(*names).toDF(*docs.columns)
-    return kept
+        of = {"id_": F.col(i), "sha_": sha, "len_": F.char_length(raw)}
+        kept = kept.withColumns(of).dropDuplicates(list(of)).select(*d.columns)
+    return kept.toDF(*docs.columns)

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from . import storage
 from .components import components
-from .words import arrow_bytes, mix64, shingle_hashes, slices, word_hashes
+from .words import arrow_bytes, mix64, set_aside, shingle_hashes, slices, word_hashes
 
 #: Bytes of texts signed together, and bytes of all texts for each bucket of the space of signatures.
 BLOCK_BYTES, BUCKET_BYTES = 1 << 23, 1 << 24
@@ -443,13 +443,11 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     rows = found.join(first, "label")
     stays = F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("mark") == F.col("f.mark"))
     gone = storage.table(rows.where(~stays).select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark")).distinct(), "gone")
-    kept = docs.join(gone, F.col(doc_id).eqNullSafe(F.col("gone_id")) & (F.xxhash64(F.col(text)) == F.col("gone_mark")), "left_anti")
+    d, (i, t) = set_aside(docs, doc_id, text)
+    kept = d.join(gone, F.col(i).eqNullSafe(F.col("gone_id")) & (F.xxhash64(F.col(t)) == F.col("gone_mark")), "left_anti")
     if rows.where(stays).groupBy("doc_id", "mark").count().where("count > 1").limit(1).count():
         # Rows with one doc_id and one text repeat; only then does a second pass remove all but one.
-        names = [f"c{i}" for i in range(len(docs.columns))]
-        i, t = names[docs.columns.index(doc_id)], names[docs.columns.index(text)]
         words_in = F.coalesce(F.col(t), F.lit("")).rlike("[^ \\t-\\r]")
-        d = kept.toDF(*names)
-        once = d.where(words_in).withColumns({"id_": F.col(i), "mark_": F.xxhash64(F.col(t))}).dropDuplicates(["id_", "mark_"]).select(*names)
-        kept = once.unionByName(d.where(~words_in)).toDF(*docs.columns)
-    return kept
+        once = kept.where(words_in).withColumns({"id_": F.col(i), "mark_": F.xxhash64(F.col(t))}).dropDuplicates(["id_", "mark_"]).select(*d.columns)
+        kept = once.unionByName(kept.where(~words_in))
+    return kept.toDF(*docs.columns)

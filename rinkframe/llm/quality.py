@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import storage
-from .words import SPACES_PATTERN, squeeze, words
+from .words import SPACES_PATTERN, set_aside, squeeze, words
 
 # The characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -221,5 +221,6 @@ def keep(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     """The rows of docs that pass, with all their columns."""
     found = verdicts(docs, doc_id, text, lang, source, more={"text_hash": F.xxhash64(F.col(text))}, **options)
     gone = storage.table(found.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), F.col("lang").alias("gone_lang"), F.col("source").alias("gone_source"), F.col("text_hash").alias("gone_hash")).distinct(), "rejected")
-    same = F.col(doc_id).eqNullSafe(F.col("gone_id")) & F.col(lang).cast("string").eqNullSafe(F.col("gone_lang")) & F.col(source).cast("string").eqNullSafe(F.col("gone_source")) & (F.xxhash64(F.col(text)) == F.col("gone_hash"))
-    return docs.join(gone, same, "left_anti")
+    d, (i, l, o, t) = set_aside(docs, doc_id, lang, source, text)
+    same = F.col(i).eqNullSafe(F.col("gone_id")) & F.col(l).cast("string").eqNullSafe(F.col("gone_lang")) & F.col(o).cast("string").eqNullSafe(F.col("gone_source")) & (F.xxhash64(F.col(t)) == F.col("gone_hash"))
+    return d.join(gone, same, "left_anti").toDF(*docs.columns)

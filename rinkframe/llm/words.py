@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The white space that parts words, [\x20\x09-\x0D].
@@ -29,6 +29,14 @@ def squeeze(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), SPACE, "")
 
 
+def set_aside(docs: DataFrame, *wanted: str) -> tuple[DataFrame, list[str]]:
+    """docs with columns c0, c1, …, so that no name clashes in a join, and the new names of the wanted columns."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    lower = [c.lower() for c in docs.columns]
+    at = [docs.columns.index(w) if w in docs.columns else lower.index(w.lower()) for w in wanted]
+    return docs.toDF(*names), [names[i] for i in at]
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (multiply and shift), so that all bits depend on all bits."""
     x = x.astype(np.uint64, copy=True)

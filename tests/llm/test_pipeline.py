@@ -82,3 +82,15 @@ def test_mix_equals_assignment(spark):
     assert mixing.mix(docs.limit(0)).count() == 0 and mixing.assign(docs.limit(0)).count() == 0
     plan = mixed._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "NestedLoop", "Cartesian"))
+
+
+def test_stages_with_clashing_names(spark):
+    """Columns named like the operators' own neither fail nor change which rows stay."""
+    rows = corpus()[:40] + corpus()[-40:]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    taken = "gone_id gone_lang gone_source gone_hash gone_sha gone_chars gone_mark c0 c1 mark label n id_ sha_ len_ mark_ best rid fp of_ kept copies near_id".split()
+    more = docs.selectExpr("*", *[f"concat('x', doc_id) AS {c}" for c in taken])
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        plain, named = stage(spark, docs, "").collect(), stage(spark, more, "")
+        assert named.columns == more.columns, name
+        assert Counter(r.doc_id for r in named.collect()) == Counter(r.doc_id for r in plain), name
