@@ -34,9 +34,16 @@ def percentile(rank: Column, total: Column) -> Column:
     return F.when(total == 0, F.lit(0.0)).otherwise((total - rank + 1).cast("double") / total.cast("double") * 100)
 
 
+# Bands of a percentile and their words.
+BANDS = [(90, "Elite - Top 10%"), (75, "Above Average - Top 25%"), (50, "Average - Top 50%"), (25, "Below Average - Bottom 50%")]
+
+
 def interpret(p: Column) -> Column:
-    """The bands of a percentile."""
-    return F.when(p >= 90, "Elite").when(p >= 75, "Above average").when(p >= 50, "Average").when(p >= 25, "Below average").otherwise("Needs improvement")
+    """The band of a percentile in words."""
+    out = F
+    for least, words in BANDS:
+        out = out.when(p >= least, words)
+    return out.otherwise("Poor - Bottom 25%")
 
 
 def in_context(value: Column, rank: Column, total: Column) -> Column:

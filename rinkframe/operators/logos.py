@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 
 from . import resolve
 
-# Words that tell teams of one club apart.
-WORDS = ["U6", "U8", "U10", "U12", "U14", "U16", "U18", "Mite", "Squirt", "Peewee", "Bantam", "Midget", "Girls", "Boys", *resolve.COLOURS]
+# Words (patterns) that tell teams of one club apart.
+WORDS = [r"U\d+[A-Z]?", "Squirt", "PeeWee", "Bantam", "Midget", "Mite", "Red", "Blue", "White", "Black", "Gold", "Silver", "Grey", "Green", "Yellow", r"\d+", "Girls", "Boys"]
 
 
 def strip_words(x: Column) -> Column:
-    """The name without age, colour, number and gender words."""
-    return F.trim(F.regexp_replace(F.regexp_replace(x, rf"(?i)\b({'|'.join(WORDS)}|[A-C]?\d+|[A-C])\b", " "), r"\s+", " "))
+    """The name without age, level, colour, number and gender words."""
+    return F.trim(F.regexp_replace(F.regexp_replace(x, rf"(?i)\b({'|'.join(WORDS)})\b", ""), r"\s+", " "))
 
 
 def match(teams: DataFrame, logos: DataFrame, aliases: DataFrame, least: float = 0.8) -> DataFrame:

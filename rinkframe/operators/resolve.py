@@ -10,29 +10,40 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Colours that end a team's name, in order of removal.
-COLOURS = ["Black", "White", "Red", "Blue", "Green", "Gold", "Grey", "Gray", "Orange", "Purple", "Silver"]
+# Colours that end a team's name, in order of removal; each goes once.
+COLOURS = ["Red", "Blue", "White", "Black", "Green", "Gold", "Silver", "Gray", "Grey", "Orange", "Purple"]
 
-# Level names from which on a team's name is no longer its club's.
-LEVELS = ["Mite", "Squirt", "Peewee", "Pee Wee", "Bantam", "Midget"]
+# Level names (patterns) from which on a team's name is no longer its club's, in order.
+LEVELS = ["Squirt", "Pee ?Wee", "PeeWee", "Bantam", "Midget", "Mite"]
+
+# Clubs that are written in capitals.
+ACRONYMS = ["WHK", "SSC", "NRI", "KP", "YD", "CC", "GU10", "GU12"]
 
 # Platforms and the marks of their pages, in order.
-PLATFORMS = [("sportsengine", "sportsengine"), ("sportngin", "sportsengine"), ("crossbar", "crossbar"), ("leagueapps", "leagueapps")]
+PLATFORMS = {
+    "sportsengine": ["sportngin", "sportsengine", "theme-nav-item", "se-widget"],
+    "crossbar": ["crossbar"],
+    "leagueapps": ["leagueapps", "/clubteams/", "la-team"],
+    "angular": ["ng-star-inserted", "angular", "ng-version"],
+}
 
 
 def title_case(x: Column) -> Column:
     """Upper case after any character that is no letter, lower case elsewhere."""
-    return F.array_join(F.transform(F.regexp_extract_all(x, F.lit("([A-Za-z]+|[^A-Za-z]+)"), 1), lambda p: F.initcap(p)), "")
+    return F.array_join(F.transform(F.regexp_extract_all(x, F.lit(r"(\p{L}+|\P{L}+)"), 1), lambda p: F.initcap(p)), "")
 
 
 def club_name(team: Column) -> Column:
-    """The club in a team's name: without division, age, level, colour and number."""
-    x = F.trim(F.coalesce(team, F.lit("")))
-    x = F.when(F.contains(x, F.lit(" - ")), F.substring_index(x, " - ", 1)).when(F.contains(x, F.lit("-")) & ~F.startswith(x, F.lit("U")), F.substring_index(x, "-", 1)).otherwise(x)
-    for pattern in [r"\(.*?\)", r"(?i)\s+G?U\d+\s*[A-C]?\d*\b", r"(?i)\s+Girls?\s*$", *[rf"(?i)\s+{c}\s*$" for c in COLOURS], r"\s+[A-Z]\s*$", r"\s+\d\s*$", rf"(?i)\s+({'|'.join(LEVELS)})\b.*$"]:
-        x = F.trim(F.regexp_replace(x, pattern, ""))
-    x = F.regexp_replace(x, r"\s+", " ")
-    return F.when((x == F.upper(x)) & (F.char_length(x) <= 5), x).otherwise(title_case(x))
+    """The club in a team's name: without division, age, colour, letter, number and level, in title case but for acronyms."""
+    stripped = lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")
+    x = stripped(F.coalesce(team, F.lit("")))
+    x = F.when(F.contains(x, F.lit(" - ")), stripped(F.substring_index(x, " - ", 1))).when(F.contains(x, F.lit("-")) & ~F.startswith(x, F.lit("U")), stripped(F.substring_index(x, "-", 1))).otherwise(x)
+    colours = [rf"(?i)\s+{c}$" for c in COLOURS]
+    levels = [rf"(?i)\s+{v}.*$" for v in LEVELS]
+    for pattern in [r"\s*\([^)]*\)", r"(?i)\s+U\d+[ABC]?\d?", r"(?i)\s+Girls?$", *colours, r"\s+[A-Z]$", r"\s+\d$", *levels]:
+        x = F.regexp_replace(x, pattern, "")
+    x = F.when(F.upper(x).isin(ACRONYMS), F.upper(x)).otherwise(title_case(x))
+    return stripped(F.regexp_replace(x, r"\s+", " "))
 
 
 def slug(x: Column) -> Column:
@@ -83,11 +94,11 @@ def contacts(pages: DataFrame, key: str, html: str) -> DataFrame:
 
 
 def platform(html: Column) -> Column:
-    x, out = F.lower(html), None
-    for mark, name in PLATFORMS:
-        hit = F.contains(x, F.lit(mark))
-        out = F.when(hit, name) if out is None else out.when(hit, name)
-    return out.otherwise("sportsengine")
+    """The first platform one of whose marks the page holds, in any case; the first of all where there is none."""
+    x, out = F.lower(html), F
+    for name, marks in PLATFORMS.items():
+        out = out.when(F.greatest(*[F.contains(x, F.lit(m)) for m in marks], F.lit(False)), name)
+    return out.otherwise(next(iter(PLATFORMS)))
 
 
 def parallel_arrays(doc: DataFrame) -> DataFrame:

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import core
-from ..operators import changes, players, quality, resolve, strength, teams
-from ..sources import pseudo
+from ..operators import changes, logos, players, quality, resolve, strength, teams
+from ..sources import documents, pseudo
 from ..streaming import events
 from . import corpus
 
@@ -159,11 +159,11 @@ _add(
     _q(lambda x: _rounded(teams.profile(x).select("season_id", "team_id", "rank", "division_gpg", "streak", F.array_join(F.transform("recent", lambda g: F.concat_ws(":", g["game_id"].cast("string"), g["score"])), ",").alias("recent"), F.col("goals_in_context.percentile").alias("percentile"), F.col("goals_in_context.suffix").alias("suffix"), F.col("goals_in_context.reading").alias("reading")), "division_gpg", "percentile")),
     ", five AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY season_id, team_id ORDER BY game_date DESC, game_id DESC) AS k FROM tg) WHERE k <= 5)" + _FORM.format(key="season_id, team_id", src="(SELECT * EXCLUDE (k) FROM five)", k=5)
     + ", lst AS (SELECT season_id, team_id, string_agg(game_id || ':' || own || '-' || other, ',' ORDER BY k) AS recent FROM five GROUP BY ALL), rk AS (SELECT season_id, team_id, rank() OVER (PARTITION BY season_id, division_id ORDER BY points DESC, gf DESC) AS rank, count(*) OVER (PARTITION BY season_id, division_id) AS n, avg(CASE WHEN gp > 0 THEN CAST(gf AS DOUBLE) / gp END) OVER (PARTITION BY season_id, division_id) AS division_gpg FROM record), pc AS (SELECT *, CAST(n - rank + 1 AS DOUBLE) / n * 100 AS p FROM rk) "
-    "SELECT season_id, team_id, rank, round(division_gpg, 6) AS division_gpg, streak, recent, round(p, 6) AS percentile, CASE rank WHEN 1 THEN 'st' WHEN 2 THEN 'nd' WHEN 3 THEN 'rd' ELSE 'th' END AS suffix, CASE WHEN p >= 90 THEN 'Elite' WHEN p >= 75 THEN 'Above average' WHEN p >= 50 THEN 'Average' WHEN p >= 25 THEN 'Below average' ELSE 'Needs improvement' END AS reading FROM pc LEFT JOIN lst USING (season_id, team_id) LEFT JOIN form USING (season_id, team_id)",
+    "SELECT season_id, team_id, rank, round(division_gpg, 6) AS division_gpg, streak, recent, round(p, 6) AS percentile, CASE rank WHEN 1 THEN 'st' WHEN 2 THEN 'nd' WHEN 3 THEN 'rd' ELSE 'th' END AS suffix, CASE WHEN p >= 90 THEN 'Elite - Top 10%' WHEN p >= 75 THEN 'Above Average - Top 25%' WHEN p >= 50 THEN 'Average - Top 50%' WHEN p >= 25 THEN 'Below Average - Bottom 50%' ELSE 'Poor - Bottom 25%' END AS reading FROM pc LEFT JOIN lst USING (season_id, team_id) LEFT JOIN form USING (season_id, team_id)",
 )
 for _c, _cols in players.LEADERS.items():
     _by = ", ".join(f"{c} DESC" for c in _cols)
-    _add(f"d21_leaders_{_c}", _q(lambda x, c=_c: _rounded(players.leaders(players.basic(x), c, limit=25, min_games=5).select("season_id", "player_id", "value", "rank", "total_qualified", "percentile", "reading"), "percentile")), f", q AS (SELECT season_id, player_id, {_cols[0]} AS value, row_number() OVER (PARTITION BY season_id ORDER BY {_by}, player_id, team_id) AS rank, count(*) OVER (PARTITION BY season_id) AS total_qualified FROM players WHERE gp >= 5), r AS (SELECT *, CAST(total_qualified - rank + 1 AS DOUBLE) / total_qualified * 100 AS p FROM q WHERE rank <= 25) SELECT season_id, player_id, value, rank, total_qualified, round(p, 6) AS percentile, CASE WHEN p >= 90 THEN 'Elite' WHEN p >= 75 THEN 'Above average' WHEN p >= 50 THEN 'Average' WHEN p >= 25 THEN 'Below average' ELSE 'Needs improvement' END AS reading FROM r")
+    _add(f"d21_leaders_{_c}", _q(lambda x, c=_c: _rounded(players.leaders(players.basic(x), c, limit=25, min_games=5).select("season_id", "player_id", "value", "rank", "total_qualified", "percentile", "reading"), "percentile")), f", q AS (SELECT season_id, player_id, {_cols[0]} AS value, row_number() OVER (PARTITION BY season_id ORDER BY {_by}, player_id, team_id) AS rank, count(*) OVER (PARTITION BY season_id) AS total_qualified FROM players WHERE gp >= 5), r AS (SELECT *, CAST(total_qualified - rank + 1 AS DOUBLE) / total_qualified * 100 AS p FROM q WHERE rank <= 25) SELECT season_id, player_id, value, rank, total_qualified, round(p, 6) AS percentile, CASE WHEN p >= 90 THEN 'Elite - Top 10%' WHEN p >= 75 THEN 'Above Average - Top 25%' WHEN p >= 50 THEN 'Average - Top 50%' WHEN p >= 25 THEN 'Below Average - Bottom 50%' ELSE 'Poor - Bottom 25%' END AS reading FROM r")
 _add("d22_player_card", _q(lambda x: _rounded(players.card(players.basic(x)), "pts_per_game", "pim_per_game")), "SELECT season_id, team_id, player_id, gp, pts, round(CAST(pts AS DOUBLE) / gp, 6) AS pts_per_game, round(CAST(pim AS DOUBLE) / gp, 6) AS pim_per_game, rank() OVER (PARTITION BY season_id, team_id ORDER BY pts DESC, g DESC) AS team_rank FROM players")
 _USUAL = ", un AS (SELECT season_id, team_id, scorer_id AS player_id, scorer_number AS number, count(*) AS n FROM goals GROUP BY ALL), us AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY season_id, team_id, player_id ORDER BY n DESC, number) AS nth FROM un) WHERE nth = 1) "
 _add("w10_usual_number", _q(players.usual_number), _USUAL + "SELECT season_id, team_id, player_id, number FROM us")
@@ -201,16 +201,58 @@ _add("d30_change_report", _q(_snapshots), "SELECT CASE WHEN game_id % 11 = 0 THE
 _add("t03_game_day", _t(lambda e: e.groupBy(core.game_day(F.col("ts")).alias("game_day"), core.refresh_minutes(F.col("ts")).alias("minutes")).agg(F.count("*").alias("n")), "events"), "SELECT d AS game_day, CASE WHEN d THEN 15 ELSE 240 END AS minutes, count(*) AS n FROM (SELECT isodow(ts) >= 6 OR (isodow(ts) = 5 AND strftime(ts, '%H:%M:%S') >= '17:00:00') OR (isodow(ts) < 5 AND strftime(ts, '%H:%M:%S') BETWEEN '18:00:00' AND '21:00:00') AS d FROM events) GROUP BY ALL", base=False)
 _add("o03_page", _t(lambda c: players.listing(c.select("c_custkey", "c_name", "c_mktsegment"), [F.col("c_mktsegment") == "BUILDING", None, F.contains(F.lower("c_name"), F.lit("customer"))], ["c_name", "c_custkey"], limit=20, offset=40), "customer"), "SELECT c_custkey, c_name, c_mktsegment, (SELECT count(*) FROM customer WHERE c_mktsegment = 'BUILDING') AS total, (SELECT count(*) FROM customer WHERE c_mktsegment = 'BUILDING') > 60 AS has_more FROM customer WHERE c_mktsegment = 'BUILDING' AND c_name ILIKE '%customer%' ORDER BY c_name, c_custkey LIMIT 20 OFFSET 40", base=False)
 _add("s03_parallel_arrays", _t(resolve.parallel_arrays_round_trip, "nation"), "SELECT CAST(n_nationkey AS BIGINT) AS team_id, n_name AS team_name, CAST(n_regionkey AS BIGINT) AS division_id FROM nation", base=False)
-_add("r01_club_name", _t(lambda p: p.select("p_partkey", resolve.club_name(F.concat_ws(" - ", F.concat("p_name", F.lit(" U10B1")), F.lit("x"))).alias("club")).groupBy("club").agg(F.count("*").alias("n")), "part"))
+#: Team names in the forms that sources use, in both dialects.
+_TEAM = "CASE p_partkey % 11 WHEN 0 THEN p_name || ' - U10B (White)' WHEN 1 THEN p_name || '-Red' WHEN 2 THEN 'WHK Black' WHEN 3 THEN p_name || ' U10 B1' WHEN 4 THEN upper(p_name) || ' 1' WHEN 5 THEN p_name || ' Red Black' WHEN 6 THEN p_name || ' Girls' WHEN 7 THEN 'ssc Blue' WHEN 8 THEN p_name || ' A' WHEN 9 THEN 'HULL (Gold)  2' ELSE p_name || ' Pee Wee 2' END"
+
+
+def _club_sql() -> str:
+    x = "CASE WHEN contains(t, ' - ') THEN trim(split_part(t, ' - ', 1)) WHEN contains(t, '-') AND NOT starts_with(t, 'U') THEN trim(split_part(t, '-', 1)) ELSE t END"
+    colours = [rf"(?i)\s+{c}$" for c in resolve.COLOURS]
+    levels = [rf"(?i)\s+{v}.*$" for v in resolve.LEVELS]
+    for pattern in [r"\s*\([^)]*\)", r"(?i)\s+U\d+[ABC]?\d?", r"(?i)\s+Girls?$", *colours, r"\s+[A-Z]$", r"\s+\d$", *levels]:
+        x = f"regexp_replace({x}, '{pattern}', '', 'g')"
+    known = ", ".join(f"'{a}'" for a in resolve.ACRONYMS)
+    title = r"array_to_string(list_transform(regexp_extract_all(x, '\p{L}+|\P{L}+'), lambda p: upper(p[1]) || lower(p[2:])), '')"
+    return rf"SELECT p_partkey, trim(regexp_replace(CASE WHEN upper(x) IN ({known}) THEN upper(x) ELSE {title} END, '\s+', ' ', 'g')) AS club FROM (SELECT p_partkey, {x} AS x FROM (SELECT p_partkey, trim({_TEAM}) AS t FROM part))"
+
+
+_add("r01_club_name", _t(lambda p: p.select("p_partkey", resolve.club_name(F.expr(_TEAM)).alias("club")), "part"), _club_sql(), base=False)
+_add(
+    "r07_strip_words",
+    _t(lambda p: p.select("p_partkey", logos.strip_words(F.expr(_TEAM)).alias("bare")), "part"),
+    rf"SELECT p_partkey, trim(regexp_replace(regexp_replace({_TEAM}, '(?i)\b({'|'.join(logos.WORDS)})\b', '', 'g'), '\s+', ' ', 'g')) AS bare FROM part",
+    base=False,
+)
+#: Pages with marks of platforms, and lines of penalties, in both dialects.
+_PAGE = "CASE p_partkey % 7 WHEN 0 THEN '<a href=/CLUBTEAMS/x>' WHEN 1 THEN '<app ng-version=\"9\">' WHEN 2 THEN 'Crossbar LeagueApps' WHEN 3 THEN '<li class=\"theme-nav-item\"> crossbar' WHEN 4 THEN 'la-team angular' WHEN 5 THEN p_name ELSE 'ng-star-inserted' END"
+_LINE = "'1st ' || (p_partkey % 13) || ':05 ' || p_name || ' ' || CASE p_partkey % 6 WHEN 0 THEN 'Cross-Checking' WHEN 1 THEN 'Charging, Hooking' WHEN 2 THEN 'high-sticking' WHEN 3 THEN 'High-Sticking' WHEN 4 THEN 'Holding Roughing' ELSE 'Other' END || ' ' || (p_partkey % 9) || ' min'"
+_add(
+    "s23_platform",
+    _t(lambda p: p.select("p_partkey", resolve.platform(F.expr(_PAGE)).alias("platform")), "part"),
+    "SELECT p_partkey, CASE " + " ".join(f"WHEN {' OR '.join(f'contains(x, {m!r})' for m in marks)} THEN '{name}'" for name, marks in resolve.PLATFORMS.items()) + f" ELSE 'sportsengine' END AS platform FROM (SELECT p_partkey, lower({_PAGE}) AS x FROM part)",
+    base=False,
+)
+_add(
+    "s15_penalty_lines",
+    _t(lambda p: documents.penalty_lines(p.select("p_partkey", F.expr(_LINE).alias("line"))).select("p_partkey", "time", "penalty", "minutes"), "part"),
+    "SELECT p_partkey, regexp_extract(line, '[0-9]+:[0-9]+') AS time, CASE " + " ".join(f"WHEN contains(line, '{k}') THEN '{k}'" for k in documents.PENALTIES) + f" ELSE 'Unknown' END AS penalty, CAST(p_partkey % 9 AS INTEGER) AS minutes FROM (SELECT p_partkey, {_LINE} AS line FROM part)",
+    base=False,
+)
 _add("r04_jersey_match", _q(lambda x: resolve.match_by_number(players.usual_number(x), players.usual_number(x)).select("season_id", "team_id", "player_id", "matched_id")), _USUAL + "SELECT a.season_id, a.team_id, a.player_id, max(b.player_id) AS matched_id FROM us a JOIN us b USING (season_id, team_id, number) GROUP BY ALL")
-_add("j15_jaccard", _q(lambda x: _rounded(resolve.roster_overlap(x.goals.select(F.concat_ws("_", "season_id", "team_id").alias("set_id"), "scorer_number"), x.penalties.select(F.concat_ws("_", "season_id", "team_id").alias("set_id"), F.col("player_number").alias("scorer_number")), "set_id", "scorer_number"), "overlap")))
+_add("j15_jaccard", _q(lambda x: _rounded(resolve.roster_overlap(x.goals.select(F.concat_ws("_", "season_id", "team_id").alias("set_id"), "scorer_number"), x.penalties.select(F.concat_ws("_", "season_id", "team_id").alias("set_id"), F.col("player_number").alias("scorer_number")), "set_id", "scorer_number"), "overlap")), ", ga AS (SELECT DISTINCT season_id || '_' || team_id AS set_id, scorer_number AS m FROM goals), pa AS (SELECT DISTINCT season_id || '_' || team_id AS set_id, l_suppkey % 20 + CASE WHEN l_quantity = 1 THEN 50 ELSE 0 END AS m FROM events_ WHERE l_returnflag = 'R'), sh AS (SELECT set_id, count(*) AS n FROM ga JOIN pa USING (set_id, m) GROUP BY ALL), na AS (SELECT set_id, count(*) AS n FROM ga GROUP BY ALL), nb AS (SELECT set_id, count(*) AS n FROM pa GROUP BY ALL) SELECT set_id, round(coalesce(sh.n, 0) / CAST(na.n + nb.n - coalesce(sh.n, 0) AS DOUBLE), 6) AS overlap FROM na JOIN nb USING (set_id) LEFT JOIN sh USING (set_id)")
 _add("k08_table_counts", lambda spark, sf_dir: quality.table_counts({n: pseudo.read(spark, sf_dir, n) for n in ("orders", "lineitem", "nation", "part")}), "SELECT 'orders' AS name, count(*) AS n_rows FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'nation', count(*) FROM nation UNION ALL SELECT 'part', count(*) FROM part", base=False)
 for _name, _sql in corpus.QUESTIONS.items():
     _add(f"d34_{_name}", lambda spark, sf_dir, q=_name: corpus.ask(spark, sf_dir, q), _sql)
 _add("o02_top_spenders", _t(lambda o: o.groupBy("o_custkey").agg(F.round(F.sum("o_totalprice"), 2).alias("spent"), F.count("*").alias("n")).orderBy(F.desc("n"), "o_custkey").limit(25).select("o_custkey", "n"), "orders"), "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey ORDER BY n DESC, o_custkey LIMIT 25", base=False)
 _add("d28_rollup", _t(lambda n, c, s: n.select(F.col("n_nationkey").alias("club_id")).join(c.groupBy(F.col("c_nationkey").alias("club_id")).agg(F.count("*").alias("n_customers")), "club_id", "left").join(s.groupBy(F.col("s_nationkey").alias("club_id")).agg(F.count("*").alias("n_suppliers")), "club_id", "left").fillna(0), "nation", "customer", "supplier"), "SELECT n_nationkey AS club_id, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS n_customers, (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey) AS n_suppliers FROM nation", base=False)
 _add("f13_page_paths", _t(lambda p: p.select("page_id", F.parse_url("url", F.lit("HOST")).alias("host"), F.length(F.parse_url("url", F.lit("PATH"))).cast("long").alias("path_chars")), "pages"), "SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host, CAST(length(regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1)) AS BIGINT) AS path_chars FROM pages", base=False)
-_add("s22_contacts", _t(lambda p: resolve.contacts(p, "page_id", "html"), "pages"))
+_LINKS = "'<a href=\"mailto:' || c_name || '@x.org?subject=1\">m</a><a href=\"mailto:' || upper(c_name) || '@X.org\">' || CASE WHEN c_custkey % 3 = 0 THEN '<a href=\"tel:555-' || c_custkey || '\">' ELSE '' END"
+_add(
+    "s22_contacts",
+    _t(lambda c: resolve.contacts(c.select("c_custkey", F.expr(_LINKS).alias("html")), "c_custkey", "html"), "customer"),
+    "SELECT c_custkey, 'email' AS kind, least(c_name || '@x.org', upper(c_name) || '@X.org') AS value FROM customer UNION ALL SELECT c_custkey, 'phone', '555-' || c_custkey FROM customer WHERE c_custkey % 3 = 0",
+    base=False,
+)
 _add("t_windowed_events", _t(lambda e: events.windowed_counts(e).select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n", F.round("total", 4).alias("total")), "events"), "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL", base=False)
 
 

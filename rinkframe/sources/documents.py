@@ -73,7 +73,7 @@ def standings_teams(pages: DataFrame, column: str = "json") -> DataFrame:
 
 
 # Penalties that a line is searched for, in order.
-PENALTIES = ["Tripping", "Hooking", "Slashing", "Interference", "Holding", "High Sticking", "Roughing", "Cross Checking", "Boarding", "Checking from Behind"]
+PENALTIES = ["Tripping", "Hooking", "Slashing", "Roughing", "High-Sticking", "Interference", "Holding", "Cross-Checking", "Boarding", "Charging"]
 
 
 def goal_lines(lines: DataFrame, column: str = "line") -> DataFrame:
@@ -86,10 +86,10 @@ def goal_lines(lines: DataFrame, column: str = "line") -> DataFrame:
 
 
 def penalty_lines(lines: DataFrame, column: str = "line") -> DataFrame:
-    """Penalties from lines that name one of the known kinds, with minutes as 'N min'."""
+    """Penalties from lines, by the first of the known kinds that a line names, with minutes as 'N min'."""
     x, kind = F.col(column), None
     for p in PENALTIES:
-        hit = F.contains(F.lower(x), F.lit(p.lower()))
+        hit = F.contains(x, F.lit(p))
         kind = F.when(hit, p) if kind is None else kind.when(hit, p)
     return lines.select("*", F.nullif(F.regexp_extract(x, r"\b(\d{1,2}:\d{2})\b", 1), F.lit("")).alias("time"), kind.otherwise("Unknown").alias("penalty"), F.nullif(F.regexp_extract(x, r"(?i)(\d+)\s*min", 1), F.lit("")).try_cast("int").alias("minutes"))
 

@@ -52,6 +52,8 @@ def test_validate_details(spark):
 def test_names_and_dates(spark):
     df = spark.createDataFrame([("Wolves - U10B1", "x"), ("lake kings U12A Red", "x"), ("O'neil Stars (A)", "x"), (None, "x"), ("", "x")], "team string, y string")
     assert [r.c for r in df.select(resolve.club_name(F.col("team")).alias("c")).collect()] == ["Wolves", "Lake Kings", "O'Neil Stars", "", ""]
+    df = spark.createDataFrame([("Canton Red Black",), ("ssc blue",), ("HULL",), ("WHK-White",), ("U-14 Stars",), ("Duxbury Pee Wee 3",)], "team string")
+    assert [r.c for r in df.select(resolve.club_name(F.col("team")).alias("c")).collect()] == ["Canton Red", "SSC", "Hull", "WHK", "U-14 Stars", "Duxbury"]
     df = spark.createDataFrame([("Monday, 3/4/2025",), ("March 4, 2025",), ("2025-03-04",), ("game on 3/4/2025 late",), ("never",)], "d string")
     assert [r.d for r in df.select(resolve.date_of(F.col("d")).alias("d")).collect()] == [date(2025, 3, 4)] * 4 + [None]
     assert spark.createDataFrame([("U12B - Gold",), ("GU14A",), ("x",)], "d string").select(resolve.division_parts(F.col("d")).alias("p")).select("p.*").collect() == [("U12", "B", "Gold"), ("GU14", "A", None), (None, None, None)]
