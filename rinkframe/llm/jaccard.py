@@ -41,7 +41,7 @@ from .words import arrow_bytes, mix64, set_aside, shingle_hashes, slices, word_h
 #: Bytes of texts signed together, and bytes of all texts for each bucket of the space of signatures.
 BLOCK_BYTES, BUCKET_BYTES = 1 << 23, 1 << 24
 #: Rounds in which each bucket has one leader; then what is far from all of them is paired by its rarest elements.
-LEADERS = 4
+LEADERS = 2
 #: Similarity to a leader, in per cent, from which classes are paired by the elements in which they differ from it.
 NEAR = 50
 #: Rows above which a signature is frequent, and left out where that loses nothing.
