@@ -1,12 +1,13 @@
 """Language-model scores: the marginal probability of a text over all its segmentations.
 
 A word may be read as any sequence of pieces of an existing subword vocabulary, and
-as a whole if it was seen in training. Pieces start with weights from the vocabulary's
-own scores; a few rounds of expectation and maximisation over the distinct training
-words fit them. P(word) = c / (N + V) + V / (N + V) * sum over segmentations of the
-product of the pieces' probabilities, which a forward recursion in logarithms adds up
-(c: count in training, N: all, V: distinct tokens). A text's probability is the product
-over its words and one end.
+as a whole if it was seen in training. Pieces have the weights of the vocabulary's own
+scores; a forward recursion in logarithms adds up the products of the pieces'
+probabilities over all segmentations (lattice). P(word) = c / (N + V) + V / (N + V) *
+lattice (c: count in training, N: all, V: distinct tokens). A text's probability is the
+product over its words and one end: `score` by P, `lattice_score` by the lattice alone.
+With rounds above 0 the pieces' weights are first fitted by as many rounds of expectation
+and maximisation over the distinct training words.
 
 Texts are encoded block by block with a dictionary of the block's words. Only
 dictionaries are shuffled: by word, to count and score each word, and back by block,
@@ -36,8 +37,10 @@ from .words import LOWER
 
 #: Tokens in a block, about; a longer text is a block of its own.
 BLOCK_TOKENS = 1 << 22
-#: Rounds of fitting, and what each piece counts for beforehand.
-ROUNDS, PRIOR = 2, 0.1
+#: Words of blocks in a shuffle partition, about.
+PART_WORDS = 1 << 21
+#: What each piece counts for before it is fitted.
+PRIOR = 0.1
 #: Units of an expected count, so that sums are of integers and runs agree.
 UNIT = 1 << 20
 START = "▁"
@@ -132,7 +135,7 @@ def vocabulary(model_file: str) -> tuple[list[str], np.ndarray]:
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
-    """Encoded texts: block, ids, held (bytes), sizes, tokens (local numbers of words), words, counts (in training)."""
+    """Encoded texts: block, n_words (distinct), ids, sizes, tokens (local numbers of words), words, counts (in training)."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -145,8 +148,8 @@ def _blocks(docs: DataFrame) -> DataFrame:
             held = np.array([held_out(i) for i in ids])
             many = np.bincount(tokens[np.repeat(~held, sizes)], minlength=len(index)) if len(tokens) else np.zeros(0, np.int64)
             return pa.RecordBatch.from_arrays(
-                [pa.array([(part << 24) + made], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())), pa.array([tokens.tobytes()], pa.binary()), pa.array([list(index)], pa.list_(pa.binary())), pa.array([many.tolist()], pa.list_(pa.int64()))],
-                names=["block", "ids", "sizes", "tokens", "words", "counts"],
+                [pa.array([(part << 24) + made], pa.int64()), pa.array([len(index)], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())), pa.array([tokens.tobytes()], pa.binary()), pa.array([list(index)], pa.list_(pa.binary())), pa.array([many.tolist()], pa.list_(pa.int64()))],
+                names=["block", "n_words", "ids", "sizes", "tokens", "words", "counts"],
             )
 
         for batch in batches:
@@ -163,10 +166,10 @@ def _blocks(docs: DataFrame) -> DataFrame:
         if ids:
             yield emit()
 
-    return docs.mapInArrow(encode, "block long, ids array<long>, sizes array<long>, tokens binary, words array<binary>, counts array<long>")
+    return docs.mapInArrow(encode, "block long, n_words long, ids array<long>, sizes array<long>, tokens binary, words array<binary>, counts array<long>")
 
 
-def fit(words: DataFrame, pieces: list[str], log_p: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
+def fit(words: DataFrame, pieces: list[str], log_p: np.ndarray, rounds: int) -> np.ndarray:
     """Fit the pieces to the distinct training words (a binary column word)."""
     for _ in range(rounds):
         start = log_p
@@ -187,12 +190,15 @@ def fit(words: DataFrame, pieces: list[str], log_p: np.ndarray, rounds: int = RO
     return log_p
 
 
-def score(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
-    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+def score(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text: str = "text", rounds: int = 0) -> DataFrame:
+    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, lattice_score."""
     blocks = storage.table(_blocks(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))), "blocks")
     entries = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "e")).select("block", "at", F.col("e.words").alias("word"), F.col("e.counts").alias("many"))
     # A word has one row per block that holds it, so no key gathers more rows than there are blocks.
-    of_word = W.partitionBy("word")
+    # Partitions grow with the words, so that no task does.
+    spark = docs.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (blocks.agg(F.sum("n_words")).first()[0] or 0) // PART_WORDS)
+    entries, of_word = entries.repartition(parts, "word"), W.partitionBy("word")
     counted = entries.select("block", "at", "word", F.sum("many").over(of_word).alias("c"), (F.row_number().over(of_word.orderBy("block")) == 1).alias("first"))
     counted = storage.table(counted, "counted")
     total = counted.where("first").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
@@ -200,7 +206,8 @@ def score(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text: str =
     ends = blocks.select(F.explode("ids").alias("id")).where(trained).count()
     n, v = int(total["n"]) + ends, int(total["v"]) + (ends > 0)
     pieces, log_p = vocabulary(model_file)
-    log_p = fit(counted.where(F.col("first") & (F.col("c") > 0)).select("word"), pieces, log_p, rounds)
+    if rounds:
+        log_p = fit(counted.where(F.col("first") & (F.col("c") > 0)).select("word"), pieces, log_p, rounds)
 
     def model(c: np.ndarray, lattice: np.ndarray) -> np.ndarray:
         """Base-10 logarithm of c / (n + v) + v / (n + v) * lattice; without training the lattice alone."""
@@ -217,16 +224,16 @@ def score(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text: str =
                 if word != last:
                     last, value = word, lattice.forward(word.decode("utf-8", "surrogateescape"))
                 out.append(value)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pa.array(model(batch.column(3).to_numpy(), np.array(out)))], names=["block", "at", "c", "p"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pa.array(out, pa.float64())], names=["block", "at", "c", "lattice"])
 
     # The end is a piece of its own: one in each training text, against all words.
     end_p = float(np.log10(max(ends, 1) / (n + v))) if n else 0.0
-    weighed = counted.mapInArrow(weigh, "block long, at int, c long, p double")
+    weighed = counted.mapInArrow(weigh, "block long, at int, c long, lattice double").repartition(parts, "block")
 
     def finish(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         row, size = left.iloc[0], len(right)
-        c, p = np.zeros(size, np.int64), np.zeros(size)
-        c[right["at"]], p[right["at"]] = right["c"], right["p"]
+        c, lattice = np.zeros(size, np.int64), np.zeros(size)
+        c[right["at"]], lattice[right["at"]] = right["c"], right["lattice"]
         tokens, sizes = np.frombuffer(row["tokens"], "<u4"), np.asarray(row["sizes"], np.int64)
         base = np.log10((c + 1) / (n + v + 1))
         full = sizes > 0
@@ -247,9 +254,10 @@ def score(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text: str =
                 "n_known": summed((c > 0).astype(np.int64), int(ends > 0)),
                 "train_tokens": n,
                 "base_score": summed(base, math.log10((ends + 1) / (n + v + 1))),
-                "score": summed(p, end_p),
+                "score": summed(model(c, lattice), end_p),
+                "lattice_score": summed(lattice / math.log(10), end_p),
             }
         )
 
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return blocks.select("block", "ids", "sizes", "tokens").groupBy("block").cogroup(weighed.groupBy("block")).applyInPandas(finish, schema)
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, lattice_score double"
+    return blocks.select("block", "ids", "sizes", "tokens").repartition(parts, "block").groupBy("block").cogroup(weighed.groupBy("block")).applyInPandas(finish, schema)

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pytest
 
 from rinkframe.llm import lattice_lm
 from rinkframe.llm.words import LOWER
@@ -36,13 +37,14 @@ def test_forward_sums_over_all_segmentations():
     assert math.isclose(sum(len(pieces[k]) * x for k, x in counts.items()), len("▁station"))
 
 
-def test_scores_against_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_scores_against_brute_force(spark, monkeypatch, rounds):
     monkeypatch.setattr(lattice_lm, "BLOCK_TOKENS", 40)
     rng = np.random.default_rng(1)
     texts = [" ".join(rng.choice(["the", "The", "cat", "sat", "oñ", "mat", "zebra", "\U0001f9ff"], int(n))) for n in rng.integers(0, 30, 60)]
     rows = list(enumerate(texts)) + [(100, None), (None, "lone words"), (101, ""), (7, texts[7]), (102, "unseen" * 3)]
     docs = spark.createDataFrame([(i, t, 1.0) for i, t in rows], "doc_id long, text string, score double")
-    got = lattice_lm.score(docs, FILE).collect()
+    got = lattice_lm.score(docs, FILE, rounds=rounds).collect()
     out = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 7 == 2
     c = Counter(w for i, t in rows if not out(i) for w in [*tokens(t), None])
     n, v = sum(c.values()), len(c)
@@ -52,7 +54,7 @@ def test_scores_against_brute_force(spark, monkeypatch):
         want[i, out(i), len(w), sum(x in c for x in w), n, round(sum(math.log10((c[x] + 1) / (n + v + 1)) for x in w), 8)] += 1
     assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 8)) for r in got) == want
     pieces, log_p = lattice_lm.vocabulary(FILE)
-    for _ in range(lattice_lm.ROUNDS):
+    for _ in range(rounds):
         lattice, many = lattice_lm.Lattice(pieces, log_p), {}
         for x in c:
             if x is not None:
@@ -66,6 +68,7 @@ def test_scores_against_brute_force(spark, monkeypatch):
     for r in got:
         text = dict(rows)[r.doc_id]
         assert math.isclose(r.score, sum(map(p, [*tokens(text), None])), rel_tol=1e-5)
+        assert math.isclose(r.lattice_score, sum(lattice.forward(x.decode()) for x in tokens(text)) / math.log(10) + p(None), rel_tol=1e-5)
 
 
 def test_empty_table(spark):
