@@ -35,12 +35,17 @@ def last_wins(rows: DataFrame, key: list[str], order: list) -> DataFrame:
     return rows.withColumn("nth_", F.row_number().over(W.partitionBy(*key).orderBy(*order))).where("nth_ = 1").drop("nth_")
 
 
-def upsert(old: DataFrame, new: DataFrame, key: list[str], preserve: bool = True) -> DataFrame:
-    """New values over old ones by key; where `preserve`, a null does not overwrite."""
+def upsert(old: DataFrame, new: DataFrame, key: list[str], preserve: bool = True, null_safe: bool = False) -> DataFrame:
+    """New values over old ones by key; where `preserve`, a null does not overwrite; where `null_safe`, nulls of keys are equal."""
     rest = [c for c in old.columns if c not in key]
     o = old.select(*key, *[F.col(c).alias(f"o_{c}") for c in rest], F.lit(True).alias("o_"))
     n = new.select(*key, *[F.col(c).alias(f"n_{c}") for c in rest], F.lit(True).alias("n_"))
-    both = o.join(n, key, "full_outer")
+    if null_safe:
+        n = n.withColumnsRenamed({c: f"k_{c}" for c in key})
+        same = [F.col(c).eqNullSafe(F.col(f"k_{c}")) for c in key]
+        both = o.join(n, same, "full_outer").withColumns({c: F.coalesce(c, f"k_{c}") for c in key})
+    else:
+        both = o.join(n, key, "full_outer")
     pick = lambda c: F.coalesce(f"n_{c}", f"o_{c}") if preserve else F.when(F.col("n_"), F.col(f"n_{c}")).otherwise(F.col(f"o_{c}"))
     return both.select(*key, *[pick(c).alias(c) for c in rest])
 
@@ -67,6 +72,33 @@ def needing_box_scores(games: DataFrame, goals: DataFrame) -> DataFrame:
     return games.where(core.final(F.col("status"))).join(goals.select("game_id"), "game_id", "left_anti")
 
 
+def upsert_games(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Insert or update games by game_id, or where it is blank by (team, date, opponent).
+
+    Both tables have the columns game_id, team, date, opponent and others; of new rows under
+    one key the greatest row counts.
+    """
+    fallback = F.to_json(F.struct("team", F.col("date").cast("string").alias("date"), "opponent"), {"ignoreNullFields": "false"})
+    keyed = lambda d: d.withColumn("key_", F.when(core.blank(F.col("game_id")), F.concat(F.lit("g"), fallback)).otherwise(F.concat(F.lit("i"), F.trim("game_id"))))
+    rows = last_wins(keyed(new), ["key_"], [F.desc_nulls_last(c) for c in new.columns])
+    return upsert(keyed(old), rows, ["key_"]).select(*old.columns)
+
+
+def schedule_changes(before: DataFrame, after: DataFrame, as_of) -> DataFrame:
+    """New games, changes of the number of finals, and their sum, between two states of a schedule."""
+    b, a = (schedule_state(d, as_of).select(F.struct("total", "finals").alias(n)) for d, n in ((before, "b"), (after, "a")))
+    new, moved = F.col("a.total") - F.col("b.total"), F.abs(F.col("a.finals") - F.col("b.finals"))
+    # One row each.
+    return b.crossJoin(a).select(new.alias("new_games"), moved.alias("status_changes"), (new + moved).alias("updated"))
+
+
+def keep_first(rows: DataFrame, key: str, order: list) -> DataFrame:
+    """The first row of each key; rows with a blank key all stay."""
+    named = ~core.blank(F.col(key))
+    first = last_wins(rows.where(named), [key], order)
+    return first.unionByName(rows.where(~named))
+
+
 def replace_season(df: DataFrame, path: str) -> None:
     """Write only the seasons in df, leaving the others in place."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("season_id").parquet(path)

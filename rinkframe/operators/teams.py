@@ -128,6 +128,9 @@ def head_to_head(league: League, last: int = 5) -> DataFrame:
     own, other = F.col("own"), F.col("other")
     base = g.groupBy(*key).agg(F.count("*").alias("gp"), F.count_if(own > other).alias("w"), F.count_if(own < other).alias("l"), F.count_if(own == other).alias("t"), F.sum("own").alias("gf"), F.sum("other").alias("ga"), F.sum(core.points(own, other)).cast("long").alias("points"))
     pp = g.join(league.goals.where("pp").select("game_id", F.col("team_id")), ["game_id", "team_id"]).groupBy(*key).agg(F.count("*").alias("pp_goals"))
+    fouls = league.penalties.where("minutes >= 2").select("game_id", F.col("team_id").alias("opponent_id"))
+    chances = g.join(fouls, ["game_id", "opponent_id"]).groupBy(*key).agg(F.count("*").alias("pp_chances"))
     form = last_and_streak(g, key, last)
-    out = base.join(form, key).join(pp, key, "left").fillna(0, ["pp_goals"])
+    out = base.join(form, key).join(pp, key, "left").join(chances, key, "left").fillna(0, ["pp_goals", "pp_chances"])
+    out = out.withColumn("pp_pct", core.ratio(F.col("pp_goals"), F.col("pp_chances"), 100.0))
     return out.withColumn("points_pct", core.ratio(F.col("points"), F.col("gp") * 2)).withColumn("gd", F.col("gf") - F.col("ga"))

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import core
-from ..operators import changes, logos, players, quality, resolve, strength, teams
+from ..operators import changes, directory, logos, players, quality, resolve, strength, teams
 from ..sources import documents, pseudo
 from ..streaming import events
-from . import corpus
+from . import clubs, corpus
 
 #: The adapter of sources.pseudo as common table expressions.
 BASE = """
@@ -149,10 +149,10 @@ pp_ AS (SELECT season_id, team_id, CAST(coalesce(sum(p) FILTER (third = 'top'),
 _add("d14_thirds", _q(strength.against_thirds), _THIRD + "SELECT t.season_id, t.team_id, coalesce(games_top, 0) AS games_top, coalesce(games_middle, 0) AS games_middle, coalesce(games_bottom, 0) AS games_bottom, coalesce(points_top, 0) AS points_top, coalesce(points_middle, 0) AS points_middle, coalesce(points_bottom, 0) AS points_bottom FROM teams t LEFT JOIN ga_ USING (season_id, team_id) LEFT JOIN pp_ USING (season_id, team_id)")
 _add(
     "d17_head_to_head",
-    _q(lambda x: _rounded(teams.head_to_head(x), "points_pct")),
+    _q(lambda x: _rounded(teams.head_to_head(x), "points_pct", "pp_pct")),
     ", pairs AS (SELECT * FROM tg WHERE team_id < opponent_id)" + _FORM.format(key="season_id, team_id, opponent_id", src="pairs", k=5)
-    + ", x AS (SELECT p.season_id, p.team_id, p.opponent_id, count(*) AS pp_goals FROM pairs p JOIN goals g ON g.game_id = p.game_id AND g.team_id = p.team_id WHERE pp GROUP BY ALL), b AS (SELECT season_id, team_id, opponent_id, count(*) AS gp, CAST(count_if(own > other) AS BIGINT) AS w, CAST(count_if(own < other) AS BIGINT) AS l, CAST(count_if(own = other) AS BIGINT) AS t, CAST(sum(own) AS BIGINT) AS gf, CAST(sum(other) AS BIGINT) AS ga FROM pairs GROUP BY ALL) "
-    "SELECT b.*, 2 * w + t AS points, last_record, streak, coalesce(pp_goals, 0) AS pp_goals, round(CAST(2 * w + t AS DOUBLE) / (2 * gp), 6) AS points_pct, gf - ga AS gd FROM b JOIN form USING (season_id, team_id, opponent_id) LEFT JOIN x USING (season_id, team_id, opponent_id)",
+    + ", x AS (SELECT p.season_id, p.team_id, p.opponent_id, count(*) AS pp_goals FROM pairs p JOIN goals g ON g.game_id = p.game_id AND g.team_id = p.team_id WHERE pp GROUP BY ALL), y AS (SELECT p.season_id, p.team_id, p.opponent_id, count(*) AS pp_chances FROM pairs p JOIN penalties q ON q.game_id = p.game_id AND q.team_id = p.opponent_id WHERE minutes >= 2 GROUP BY ALL), b AS (SELECT season_id, team_id, opponent_id, count(*) AS gp, CAST(count_if(own > other) AS BIGINT) AS w, CAST(count_if(own < other) AS BIGINT) AS l, CAST(count_if(own = other) AS BIGINT) AS t, CAST(sum(own) AS BIGINT) AS gf, CAST(sum(other) AS BIGINT) AS ga FROM pairs GROUP BY ALL) "
+    "SELECT b.*, 2 * w + t AS points, last_record, streak, coalesce(pp_goals, 0) AS pp_goals, coalesce(pp_chances, 0) AS pp_chances, round(coalesce(CAST(coalesce(pp_goals, 0) AS DOUBLE) * 100e0 / nullif(pp_chances, 0), 0), 6) AS pp_pct, round(CAST(2 * w + t AS DOUBLE) / (2 * gp), 6) AS points_pct, gf - ga AS gd FROM b JOIN form USING (season_id, team_id, opponent_id) LEFT JOIN x USING (season_id, team_id, opponent_id) LEFT JOIN y USING (season_id, team_id, opponent_id)",
 )
 _add(
     "d20_team_profile",
@@ -254,6 +254,11 @@ _add(
     base=False,
 )
 _add("t_windowed_events", _t(lambda e: events.windowed_counts(e).select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n", F.round("total", 4).alias("total")), "events"), "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL", base=False)
+_add("a20_league_summary", _q(lambda x: directory.league_summary(teams.record(x))), "SELECT season_id, count(DISTINCT division_id) AS n_divisions, count(*) AS n_teams, CAST(round(sum(gp) / 2e0) AS BIGINT) AS n_games FROM record GROUP BY season_id")
+_add("a22_box_score_share", _q(lambda x: x.games.join(x.goals.select("game_id").distinct().withColumn("has", F.lit(True)), "game_id", "left").groupBy("season_id").agg(F.count_if("has").alias("with_goals"), F.count("home_score").alias("scored")).withColumn("share", directory.share_text(F.col("with_goals"), F.col("scored")))), "SELECT *, CASE WHEN scored = 0 THEN 'N/A' ELSE printf('%.1f%%', with_goals * 100e0 / scored) END AS share FROM (SELECT season_id, CAST(count_if(h) AS BIGINT) AS with_goals, count(home_score) AS scored FROM games LEFT JOIN (SELECT DISTINCT game_id, true AS h FROM goals) USING (game_id) GROUP BY season_id)")
+_add("t06_schedule_changes", _q(lambda x: changes.schedule_changes(x.games.where("game_id % 11 <> 0").withColumn("status", F.when(F.col("game_id") % 7 == 0, "scheduled").otherwise(F.col("status"))), x.games, "1997-03-01")), "SELECT *, new_games + status_changes AS updated FROM (SELECT CAST(count_if(game_id % 11 = 0) AS BIGINT) AS new_games, abs(CAST(count_if(status = 'final') AS BIGINT) - CAST(count_if(status = 'final' AND game_id % 11 <> 0 AND game_id % 7 <> 0) AS BIGINT)) AS status_changes FROM games)")
+for _name, _make in clubs.QUERIES.items():
+    _add(_name, _make, clubs.ORACLE[_name], base=False)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,6 +72,59 @@ def standings_teams(pages: DataFrame, column: str = "json") -> DataFrame:
     return z.select("division_id", "division", F.col("teamIds").alias("team_id"), F.col("teamTitles.title").alias("team_name"), F.col("teamLogos").alias("logo"), "gp", "w", "l", "t", "pts", "gf", "ga").where("team_name is not null")
 
 
+_DIVISIONS = "array<struct<id: bigint, title: string, assistValue: int, goalValue: int, maxGoalDifferential: int>>"
+_NAMES = "array<struct<firstName: string, lastName: string, photo: string>>"
+_COUNTS = ["gp", "g", "a", "pts", "pim", "ppg", "shg", "gwg"]
+_LISTS = f"names: {_NAMES}, ids: array<string>, jersey: array<string>, {', '.join(f'{c}: array<int>' for c in _COUNTS)}"
+_BODY = ["birthdate", "height", "weight", "shotHand", "hometown"]
+ROSTER = f"struct<playerData: struct<{_LISTS}, positions: array<array<string>>, {', '.join(f'{c}: array<string>' for c in _BODY)}>, goalieData: struct<{_LISTS}>, coachData: struct<names: {_NAMES}, positions: array<string>>>"
+_PLACES = "array<struct<rank: int, team_id: bigint, name: string, gp: int, w: int, l: int, t: int, gf: int, ga: int, pts: int>>"
+STANDINGS_DUMP = f"map<string, struct<division_id: bigint, division_name: string, league_id: string, teams: {_PLACES}>>"
+
+
+def divisions(pages: DataFrame, column: str = "json") -> DataFrame:
+    """Divisions of a list; values of goals and assists are 1 where they are absent, and one without an id is left out."""
+    d = pages.select(F.explode(F.from_json(column, _DIVISIONS)).alias("d")).where("d.id is not null")
+    return d.select(F.col("d.id").alias("division_id"), F.coalesce("d.title", F.lit("Unknown")).alias("division_name"), F.coalesce("d.assistValue", F.lit(1)).alias("assist_value"), F.coalesce("d.goalValue", F.lit(1)).alias("goal_value"), F.col("d.maxGoalDifferential").alias("max_goal_differential"))
+
+
+def _zipped(doc: DataFrame, part: str, fields: list[str]) -> DataFrame:
+    """Rows of parallel arrays, as many as there are names; what a short or absent array lacks is null."""
+    kinds = {f.name: f.dataType for f in doc.schema["d"].dataType[part].dataType}
+    arrays = [F.coalesce(f"d.{part}.{c}", F.array().cast(kinds[c])).alias(c) for c in fields]
+    d = doc.select("team_id", *arrays).withColumn("n", F.size("names"))
+    return d.select("team_id", "n", F.posexplode(F.arrays_zip(*fields)).alias("i", "x")).where("i < n").select("team_id", "x.*")
+
+
+def roster_people(pages: DataFrame, column: str = "json") -> DataFrame:
+    """Players and goalies of team rosters (team_id, JSON of parallel arrays); without an id they are left out.
+
+    A team whose lists are empty (private) gives no row. Absent counts are 0.
+    """
+    doc = pages.select("team_id", F.from_json(column, ROSTER).alias("d"))
+    person = ["team_id", F.col("ids").alias("player_id"), F.coalesce("names.firstName", F.lit("")).alias("first_name"), F.coalesce("names.lastName", F.lit("")).alias("last_name"), "jersey"]
+    zero = lambda names: [F.coalesce(c, F.lit(0)).alias(c) for c in names]
+    players = _zipped(doc, "playerData", ["names", "ids", "jersey", "positions", *_COUNTS, *_BODY])
+    players = players.select(*person, F.array_join("positions", ",").alias("position"), *zero(_COUNTS), F.col("names.photo").alias("photo"), *_BODY, F.lit(False).alias("is_goalie"))
+    goalies = _zipped(doc, "goalieData", ["names", "ids", "jersey", *_COUNTS[:5]])
+    goalies = goalies.select(*person, F.lit("goalie").alias("position"), *zero(_COUNTS[:5]), F.lit(True).alias("is_goalie"))
+    return players.unionByName(goalies, allowMissingColumns=True).where("coalesce(player_id, '') <> ''")
+
+
+def roster_coaches(pages: DataFrame, column: str = "json") -> DataFrame:
+    """Coaches of team rosters; teams without players and goalies give none."""
+    doc = pages.select("team_id", F.from_json(column, ROSTER).alias("d")).where("coalesce(size(d.playerData.names), 0) > 0 or coalesce(size(d.goalieData.names), 0) > 0")
+    rows = _zipped(doc, "coachData", ["names", "positions"])
+    return rows.select("team_id", F.coalesce("names.firstName", F.lit("")).alias("first_name"), F.coalesce("names.lastName", F.lit("")).alias("last_name"), F.coalesce("positions", F.lit("unknown")).alias("position"))
+
+
+def standings_dump(files: DataFrame, column: str = "value") -> DataFrame:
+    """Teams of a standings file: an object of divisions, each with its teams, with or without a script around it."""
+    body = F.regexp_extract(column, r"(?s)(\{.*\})", 1)
+    d = files.select(F.explode(F.from_json(body, STANDINGS_DUMP)).alias("key", "d"))
+    return d.select("key", "d.division_id", "d.division_name", "d.league_id", F.explode("d.teams").alias("x")).select("key", "division_id", "division_name", "league_id", "x.*")
+
+
 # Penalties that a line is searched for, in order.
 PENALTIES = ["Tripping", "Hooking", "Slashing", "Roughing", "High-Sticking", "Interference", "Holding", "Cross-Checking", "Boarding", "Charging"]
 
