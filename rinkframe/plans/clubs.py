@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import changes, directory, names
+from ..functions import core
+from ..operators import changes, directory, names, resolve
 from ..sources import documents, pseudo
 
 QUERIES: dict = {}
@@ -202,3 +203,54 @@ _add(
     "region",
     "SELECT 'd_' || r_regionkey AS key, CAST(r_regionkey AS BIGINT) AS division_id, r_name AS division_name, '10477' AS league_id, k AS rank, CAST(4 + k AS BIGINT) AS team_id, CASE k WHEN 1 THEN 'x' END AS name, CASE k WHEN 1 THEN 2 END AS w, CASE k WHEN 1 THEN 4 END AS pts FROM region CROSS JOIN (VALUES (1), (2)) v(k)",
 )
+
+# Texts of sources: goal lines, divisions, dates, clocks; and captured documents.
+_GOAL = _cases("p_partkey", ["'2nd 05:12 A. Player (B. One, C. Two)'", "'OT 1:02 ' || p_name || ' (Unassisted)'", "'3rd no time'", "p_name", "'1st 12:30 ' || p_name"])
+_add(
+    "s14_goal_lines",
+    lambda p: documents.goal_lines(p.select("p_partkey", F.expr(_GOAL).alias("line"))).select("p_partkey", "period", "time", "player", F.array_join("assists", ";").alias("assists")),
+    "part",
+    "SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN '2nd' WHEN 1 THEN 'OT' ELSE '1st' END AS period, CASE p_partkey % 5 WHEN 0 THEN '05:12' WHEN 1 THEN '1:02' ELSE '12:30' END AS time, CASE WHEN p_partkey % 5 = 0 THEN 'A. Player' ELSE trim(p_name) END AS player, CASE WHEN p_partkey % 5 = 0 THEN 'B. One;C. Two' ELSE '' END AS assists FROM part WHERE p_partkey % 5 IN (0, 1, 4)",
+)
+_PARTS = _cases("p_partkey", ["'U10B - Gold'", "'GU12A'", "'U8C'", "'GU14'", "p_name"])
+_add(
+    "f05_text_forms",
+    lambda p: p.select("p_partkey", resolve.slug(F.concat(F.lit(" "), "p_name", F.lit("-- 7!"))).alias("slug"), resolve.fingerprint(F.concat("p_name", F.lit(" U-10"))).alias("mark"), resolve.division_parts(F.expr(_PARTS)).alias("d"), resolve.split_name(F.concat(F.lit(" "), "p_name", F.lit("  x y"))).alias("n"), core.leading_int(F.concat(F.col("p_size").cast("string"), F.lit("B"))).alias("jersey"))
+    .select("p_partkey", "slug", "mark", "d.age", "d.level", "d.tier", "n.first", "n.last", "jersey"),
+    "part",
+    r"SELECT p_partkey, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g'), '-') || '-7' AS slug, regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') || 'u10' AS mark, CASE p_partkey % 5 WHEN 0 THEN 'U10' WHEN 1 THEN 'GU12' WHEN 2 THEN 'U8' WHEN 3 THEN 'GU14' END AS age, CASE p_partkey % 5 WHEN 0 THEN 'B' WHEN 1 THEN 'A' WHEN 2 THEN 'C' END AS level, CASE p_partkey % 5 WHEN 0 THEN 'Gold' END AS tier, regexp_extract(p_name, '^\S+') AS first, trim(regexp_replace(p_name, '^\S+', '')) || CASE WHEN contains(p_name, ' ') THEN '  ' ELSE '' END || 'x y' AS last, CAST(p_size AS INTEGER) AS jersey FROM part",
+)
+_add(
+    "f06_dates",
+    lambda o: o.select("o_orderkey", resolve.date_of(F.expr("CASE o_orderkey % 4 WHEN 0 THEN date_format(o_orderdate, 'yyyy-MM-dd') WHEN 1 THEN date_format(o_orderdate, 'M/d/yyyy') WHEN 2 THEN date_format(o_orderdate, 'EEEE, MMMM d, yyyy') ELSE 'soon' END")).cast("string").alias("day")),
+    "orders",
+    "SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 3 THEN strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders",
+)
+_add(
+    "f14_clock",
+    lambda e: e.select("event_id", core.game_seconds(core.period_number(F.expr("CASE event_id % 5 WHEN 0 THEN '1st' WHEN 1 THEN 'Second' WHEN 2 THEN '3RD' WHEN 3 THEN 'Overtime' ELSE 'x' END")), F.expr("CASE WHEN event_id % 7 = 0 THEN 'late' ELSE (event_id % 13) || ':05' END")).alias("seconds")),
+    "events",
+    "SELECT event_id, CAST(CASE WHEN event_id % 5 < 4 AND event_id % 7 <> 0 THEN (event_id % 5 + 1) * 780 - (event_id % 13) * 60 - 5 END AS INTEGER) AS seconds FROM events",
+)
+_BOX = """'{"home": {"id": "h' || n_nationkey || '", "roster": {"players": [{"id": "p1", "firstName": "A", "lastName": "' || n_name || '", "number": "9", "status": "PLAYED", "g": 1}, {"id": ""}]}}, "visitor": {"id": "v", "roster": {"players": [{"id": "p2", "number": "x"}]}}, "tables": {"goalsByPeriod": [{"period": "1st", "periodEvents": [{"eventType": "goal", "time": "10:00", "team": {"id": "h' || n_nationkey || '"}, "powerPlay": true, "goalScorer": {"id": "p1", "number": "9"}, "assist1By": {"id": ""}}]}, {"period": "OT", "periodEvents": [{"eventType": "note"}, {"eventType": "GOAL", "time": "bad", "team": {"id": "v"}, "goalScorer": {"id": "p2"}}]}], "penaltiesByPeriod": [{"period": "2nd", "periodEvents": [{"eventType": "penalty", "time": "1:30", "team": {"id": "v"}, "commitedBy": {"id": "p2"}, "penaltyType": {"title": "Hooking", "duration": "2", "class": "Minor"}}]}]}}'"""
+
+
+def _boxes(nation):
+    return nation.select(F.col("n_nationkey").alias("game_id"), F.expr(_BOX).alias("json"))
+
+
+_add(
+    "s05_box_goals",
+    lambda n: documents.box_score_goals(_boxes(n)).select("game_id", "seq", "period", "period_number", "game_seconds", "team_id", "is_home", "scorer_id", "scorer_number", "assist1_id", "pp"),
+    "nation",
+    "SELECT n_nationkey AS game_id, CAST(0 AS INTEGER) AS seq, '1st' AS period, CAST(1 AS INTEGER) AS period_number, CAST(180 AS INTEGER) AS game_seconds, 'h' || n_nationkey AS team_id, true AS is_home, 'p1' AS scorer_id, CAST(9 AS INTEGER) AS scorer_number, CAST(NULL AS VARCHAR) AS assist1_id, true AS pp FROM nation UNION ALL SELECT n_nationkey, 1001, 'OT', 4, NULL, 'v', false, 'p2', NULL, NULL, false FROM nation",
+)
+_add("s06_box_penalties", lambda n: documents.box_score_penalties(_boxes(n)).select("game_id", "period", "game_seconds", "team_id", "player_id", "served_by", "penalty", "penalty_class", "minutes", "is_major"), "nation", "SELECT n_nationkey AS game_id, '2nd' AS period, CAST(1470 AS INTEGER) AS game_seconds, 'v' AS team_id, 'p2' AS player_id, CAST(NULL AS VARCHAR) AS served_by, 'Hooking' AS penalty, 'Minor' AS penalty_class, CAST(2 AS INTEGER) AS minutes, false AS is_major FROM nation")
+_add("s07_box_rosters", lambda n: documents.box_score_rosters(_boxes(n)).select("game_id", "team_id", "player_id", "number", "name", "status", "g"), "nation", "SELECT n_nationkey AS game_id, 'h' || n_nationkey AS team_id, 'p1' AS player_id, CAST(9 AS INTEGER) AS number, 'A ' || n_name AS name, 'played' AS status, CAST(1 AS INTEGER) AS g FROM nation UNION ALL SELECT n_nationkey, 'v', 'p2', NULL, '', NULL, NULL FROM nation")
+_PAGE = """'{"d": [{"date": "2024-01-0' || (n_regionkey + 1) || '", "games": [{"id": "g' || n_nationkey || '", "status": "FINAL", "homeTeam": {"id": "1", "name": "' || n_name || '"}, "visitor": {"id": "2", "title": "V"}}, {"id": "all", "date": "2024-02-02", "home": {"title": "T"}}, {"status": "x"}]}]}'"""
+_add("s11_schedule", lambda n: documents.schedule_games(n.select(F.expr(_PAGE).alias("json"))).select("game_id", "game_date", "status", "home_id", "home_name", "visitor_id", "visitor_name"), "nation", "SELECT 'g' || n_nationkey AS game_id, '2024-01-0' || (n_regionkey + 1) AS game_date, 'final' AS status, '1' AS home_id, n_name AS home_name, '2' AS visitor_id, 'V' AS visitor_name FROM nation UNION ALL SELECT 'all', '2024-02-02', 'scheduled', NULL, 'T', NULL, NULL")
+_TABLE = """'[{"id": ' || r_regionkey || ', "title": "' || r_name || '", "tableData": {"teamIds": [5, 6, 7], "teamTitles": [{"title": "a"}, {"title": "b"}], "gp": [3], "pts": [4, 2]}}]'"""
+_add("s08_standings", lambda r: documents.standings_teams(r.select(F.expr(_TABLE).alias("json"))).select("division_id", "division", "team_id", "team_name", "gp", "pts"), "region", "SELECT CAST(r_regionkey AS BIGINT) AS division_id, r_name AS division, CAST(5 AS BIGINT) AS team_id, 'a' AS team_name, CAST(3 AS INTEGER) AS gp, CAST(4 AS INTEGER) AS pts FROM region UNION ALL SELECT CAST(r_regionkey AS BIGINT), r_name, 6, 'b', NULL, 2 FROM region")
+_add("m01_last_wins", lambda o: changes.last_wins(o, ["o_custkey"], [F.desc("o_orderdate"), F.desc("o_orderkey")]).select("o_custkey", "o_orderkey"), "orders", "SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders) WHERE n = 1")
+_add("m03_insert_or_ignore", lambda c: changes.insert_or_ignore(c.where("c_custkey % 2 = 0").selectExpr("c_custkey", "'old' AS v"), c.where("c_custkey % 3 = 0").selectExpr("c_custkey", "'new' AS v"), ["c_custkey"]), "customer", "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'old' ELSE 'new' END AS v FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0")
+_add("j16_fill_blanks", lambda c: changes.fill_blanks(c.selectExpr("c_custkey", "c_nationkey", "CASE WHEN c_custkey % 3 = 0 THEN ' ' ELSE c_name END AS name"), c.selectExpr("c_nationkey", "CASE WHEN c_custkey % 5 = 0 THEN '' ELSE c_mktsegment END AS name"), "c_nationkey", "name").select("c_custkey", "name"), "customer", "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN coalesce(least_name, ' ') ELSE c_name END AS name FROM customer LEFT JOIN (SELECT c_nationkey, min(c_mktsegment) AS least_name FROM customer WHERE c_custkey % 5 <> 0 GROUP BY ALL) USING (c_nationkey)")

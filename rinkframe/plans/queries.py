@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import core
-from ..operators import changes, directory, logos, players, quality, resolve, strength, teams
+from ..operators import changes, directory, logos, monitor, players, quality, resolve, strength, teams
 from ..sources import documents, pseudo
 from ..streaming import events
 from . import clubs, corpus
@@ -184,8 +184,33 @@ _add("q05_game_issues", _q(lambda x: quality.game_issues(x, many=10)), _GQ + "SE
 _add("q06_missing_data", _q(quality.missing_data), "SELECT 'games' AS entity, count(*) AS total, CAST(count_if(home_score IS NULL OR visitor_score IS NULL) AS BIGINT) AS missing, round(CAST(count_if(home_score IS NULL OR visitor_score IS NULL) AS BIGINT) * 100e0 / greatest(count(*), 1), 1) AS percentage FROM games WHERE status = 'final' UNION ALL SELECT 'goals', count(*), CAST(count_if(scorer_id IS NULL) AS BIGINT), 0e0 FROM goals UNION ALL SELECT 'penalties', count(*), CAST(count_if(player_id IS NULL) AS BIGINT), 0e0 FROM penalties")
 _add("q10_game_quality", _q(quality.game_scores), _GQ + "SELECT season_id, game_id, n_goals, round(CASE WHEN missing THEN 0e0 ELSE 0.35e0 END + CASE WHEN n_goals = total THEN 1e0 WHEN n_goals > 0 THEN 0.7e0 ELSE 0.3e0 END * 0.3e0 + CASE WHEN total > 20 THEN 0.5e0 WHEN total > 15 THEN 0.8e0 ELSE 1e0 END * 0.2e0 + 0.15e0, 3) AS score FROM gq")
 _add("q11_team_quality", _q(quality.team_scores), ", sz AS (SELECT season_id, team_id, count(DISTINCT scorer_id) AS n FROM goals GROUP BY ALL), s AS (SELECT season_id, team_id, gp, gpg, gapg, coalesce(n, 0) AS n_players FROM record LEFT JOIN sz USING (season_id, team_id)) SELECT season_id, team_id, gp, n_players, round(CASE WHEN gp = 0 THEN 0e0 ELSE 1e0 END * 0.4e0 + CASE WHEN n_players = 0 THEN 0e0 WHEN n_players < 8 THEN 0.5e0 WHEN n_players > 25 THEN 0.6e0 ELSE 1e0 END * 0.4e0 + CASE WHEN gpg > 15 OR gapg > 15 THEN 0.5e0 ELSE 1e0 END * 0.2e0, 3) AS score FROM s")
-_add("q07_overall", _q(lambda x: quality.overall(x).select("inconsistent", "low", "critical", "holes", "score")))
-_add("q14_issues", _q(lambda x: quality.issues(x).groupBy("entity", "band").agg(F.count("*").alias("n"))))
+_MANY = "(SELECT season_id, scorer_id, count(DISTINCT scorer_number) AS n FROM goals GROUP BY ALL HAVING count(DISTINCT scorer_number) > 1)"
+_HOLES = "(SELECT CAST(count_if(home_score IS NULL OR visitor_score IS NULL) AS BIGINT) * 100e0 / greatest(count(*), 1) AS p FROM games WHERE status = 'final' UNION ALL SELECT count_if(scorer_id IS NULL) * 100e0 / greatest(count(*), 1) FROM goals UNION ALL SELECT count_if(player_id IS NULL) * 100e0 / greatest(count(*), 1) FROM penalties)"
+_add(
+    "q07_overall",
+    _q(lambda x: quality.overall(x).select("inconsistent", "low", "critical", "holes", "score")),
+    _CONF + _GQ + f", k AS (SELECT (SELECT count(*) FROM {_MANY}) AS inconsistent, (SELECT count(*) FROM co WHERE round(1e0 / n * 0.5e0 + 0.3e0 + CASE WHEN ok THEN 0.2e0 ELSE 0.1e0 END, 3) < 0.7e0) AS low, (SELECT count(*) FROM gq WHERE missing) AS critical, (SELECT count(*) FROM {_HOLES} WHERE round(p, 1) > 50) AS holes) "
+    "SELECT *, round(greatest(0e0, 1e0 - (least(0.2e0, inconsistent * 0.01e0) + least(0.2e0, low * 0.005e0) + least(0.3e0, critical * 0.02e0) + holes * 0.1e0)), 3) AS score FROM k",
+)
+_add(
+    "q14_issues",
+    _q(lambda x: quality.issues(x).groupBy("entity", "band").agg(F.count("*").alias("n"))),
+    _GQ + f", i AS (SELECT 'player' AS entity, 1 - round(1e0 / n, 3) AS impact FROM {_MANY} UNION ALL SELECT 'game', CASE WHEN missing THEN 0.5e0 ELSE 0.2e0 END FROM gq WHERE missing OR (total > 0 AND n_goals = 0) OR total > 20 UNION ALL SELECT 'team', 0.3e0 FROM (SELECT 1 FROM goals GROUP BY season_id, team_id, scorer_number HAVING count(DISTINCT scorer_id) > 1)) SELECT entity, CASE WHEN impact > 0.5e0 THEN 'critical' WHEN impact >= 0.2e0 THEN 'warning' ELSE 'info' END AS band, count(*) AS n FROM i GROUP BY ALL",
+)
+_POINTS = ", y AS (SELECT season_id, team_id, player_id, gp, g, a, pts, pim, coalesce(n, 0) AS n FROM players LEFT JOIN (SELECT season_id, team_id, scorer_id AS player_id, count(DISTINCT scorer_number) AS n FROM goals GROUP BY ALL) USING (season_id, team_id, player_id)) "
+
+
+def _scored(x) -> DataFrame:
+    worn = x.goals.groupBy("season_id", "team_id", F.col("scorer_id").alias("player_id")).agg(F.countDistinct("scorer_number").alias("n_numbers"))
+    p = players.basic(x).join(worn, players.KEY, "left").fillna(0, ["n_numbers"])
+    return p.withColumn("name", F.when(F.col("gp") % 3 != 0, F.col("player_id")))
+
+
+_SCORE = "round(1e0 / greatest(n, 1) * 0.3e0 + CASE WHEN gp % 3 <> 0 THEN 1e0 ELSE 0e0 END * 0.2e0 + CASE WHEN gp = 0 THEN 0e0 WHEN pts = 0 THEN 0.5e0 ELSE 1e0 END * 0.2e0 + least(CASE WHEN pts > 100 THEN 0.3e0 WHEN pts > 50 THEN 0.7e0 ELSE 1e0 END, CASE WHEN gp > 0 AND pts > 10 * gp THEN 0.2e0 ELSE 1e0 END) * 0.25e0 + CASE WHEN pim > 100 THEN 0.5e0 ELSE 1e0 END * 0.05e0, 3)"
+_add("q08_player_scores", _q(lambda x: monitor.player_scores(_scored(x)).select(*players.KEY, "score", F.array_join("recommendations", ",").alias("advice"))), _POINTS + f"SELECT season_id, team_id, player_id, {_SCORE} AS score, concat_ws(',', CASE WHEN n > 1 THEN 'check numbers' END, CASE WHEN gp % 3 = 0 THEN 'add name' END, CASE WHEN gp = 0 OR pts = 0 THEN 'complete statistics' END, CASE WHEN pts > 50 OR pts > 10 * gp THEN 'review totals' END, CASE WHEN pim > 100 THEN 'review penalties' END) AS advice FROM y")
+_add("q09_basic_scores", _q(lambda x: monitor.basic_scores(_scored(x).withColumn("number", F.nullif("n_numbers", F.lit(0)))).select(*players.KEY, "score")), _POINTS + "SELECT season_id, team_id, player_id, round(CASE WHEN n > 0 THEN 0.4e0 ELSE 0e0 END + CASE WHEN gp % 3 <> 0 THEN 0.3e0 ELSE 0e0 END + CASE WHEN gp > 0 THEN 0.2e0 ELSE 0e0 END + CASE WHEN pts > 0 THEN 0.1e0 ELSE 0e0 END, 3) AS score FROM y")
+_add("q03_basic_confidence", _q(lambda x: monitor.basic_confidence(_scored(x).withColumn("number", F.nullif("n_numbers", F.lit(0)))).select(*players.KEY, "confidence")), _POINTS + "SELECT season_id, team_id, player_id, round(CASE WHEN n > 0 THEN 0.5e0 ELSE 0e0 END + CASE WHEN gp % 3 <> 0 THEN 0.3e0 ELSE 0e0 END + CASE WHEN pts > 0 AND pts < 100 THEN 0.2e0 ELSE 0.1e0 END, 3) AS confidence FROM y")
+_add("q12_histogram", _q(lambda x: monitor.histogram(monitor.player_scores(_scored(x)))), _POINTS + f"SELECT CASE WHEN s < 0.5e0 THEN 'poor' WHEN s < 0.8e0 THEN 'fair' ELSE 'good' END AS band, count(*) AS n FROM (SELECT {_SCORE} AS s FROM y) GROUP BY ALL")
 _add("j08_orphans", _t(lambda o, li: quality.orphans(o.select("o_orderkey"), li, "o_orderkey", "l_orderkey"), "orders", "lineitem"), "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)", base=False)
 _add("t02_needing_box_scores", _q(lambda x: changes.needing_box_scores(x.games, x.goals).select("season_id", "game_id")), "SELECT season_id, game_id FROM games WHERE status = 'final' AND game_id NOT IN (SELECT game_id FROM goals)")
 _add("a15_schedule_state", _q(lambda x: changes.schedule_state(x.games, "1997-03-01")), "SELECT count(*) AS total, CAST(count_if(status = 'final') AS BIGINT) AS finals, CAST(count_if(status = 'scheduled') AS BIGINT) AS scheduled, CAST(count_if(game_date = DATE '1997-03-01') AS BIGINT) AS today, CAST(count_if(game_date = DATE '1997-03-02') AS BIGINT) AS tomorrow FROM games")
