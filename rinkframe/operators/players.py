@@ -16,12 +16,13 @@ KEY = ["season_id", "team_id", "player_id"]
 
 def basic(league: League) -> DataFrame:
     """Games with any event, goals, assists, points, situations and penalties of every player."""
-    roles = goal_roles(league.goals)
-    goal, assist = F.col("role") == "g", F.col("role") == "a"
-    scoring = roles.groupBy(*KEY).agg(F.count_if(goal).alias("g"), F.count_if(assist).alias("a"), F.count_if(goal & F.col("pp")).alias("pp_g"), F.count_if(assist & F.col("pp")).alias("pp_a"), F.count_if(goal & F.col("sh")).alias("sh_g"), F.count_if(assist & F.col("sh")).alias("sh_a"), F.count_if(goal & F.col("gw")).alias("gwg"), F.count_if(goal & F.col("en")).alias("en_g"))
-    fouls = league.penalties.groupBy(*KEY).agg(F.count("*").alias("penalties"), F.sum("minutes").cast("long").alias("pim"), F.count_if(F.col("minutes") >= 5).alias("majors"))
-    games = roles.select(*KEY, "game_id").union(league.penalties.select(*KEY, "game_id")).groupBy(*KEY).agg(F.countDistinct("game_id").alias("gp"))
-    out = games.join(scoring, KEY, "left").join(fouls, KEY, "left").fillna(0)
+    goal, assist, foul = (F.col("role") == r for r in ("g", "a", "p"))
+    fouls = league.penalties.select(*KEY, "game_id", F.lit("p").alias("role"), "minutes")
+    events = goal_roles(league.goals).unionByName(fouls, allowMissingColumns=True)
+    counts = {"g": goal, "a": assist, "pp_g": goal & F.col("pp"), "pp_a": assist & F.col("pp"), "sh_g": goal & F.col("sh"), "sh_a": assist & F.col("sh"), "gwg": goal & F.col("gw"), "en_g": goal & F.col("en"), "penalties": foul}
+    # One shuffle of events by player and game; players' rows follow from games' counts.
+    games = events.groupBy(*KEY, "game_id").agg(*[F.count_if(c).alias(n) for n, c in counts.items()], F.coalesce(F.sum("minutes"), F.lit(0)).cast("long").alias("pim"), F.count_if(F.col("minutes") >= 5).alias("majors"))
+    out = games.groupBy(*KEY).agg(F.count("game_id").alias("gp"), *[F.sum(c).alias(c) for c in (*counts, "pim", "majors")])
     pts = F.col("g") + F.col("a")
     return out.withColumn("pts", pts).withColumn("pts_per_game", core.ratio(pts, F.col("gp"))).withColumn("pim_per_game", core.ratio(F.col("pim"), F.col("gp")))
 

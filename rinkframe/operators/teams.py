@@ -29,10 +29,11 @@ def standings(league: League) -> DataFrame:
 
 
 def _against(league: League, events: DataFrame) -> DataFrame:
-    """Events of the opponent, seen from each side of their games."""
-    sides = team_games(league.games, scored=False, finals=False).select("season_id", "game_id", "team_id", "opponent_id")
-    e = events.withColumnRenamed("team_id", "by_id")
-    return sides.join(e, ["season_id", "game_id"]).where((F.col("by_id") != F.col("team_id")) & (F.col("by_id") == F.col("opponent_id")))
+    """Events by the team that they were against; those of neither side of their game are left out."""
+    sides = league.games.select("season_id", "game_id", "home_id", "visitor_id").where("home_id <> visitor_id")
+    against = F.when(F.col("by_id") == F.col("home_id"), F.col("visitor_id")).when(F.col("by_id") == F.col("visitor_id"), F.col("home_id"))
+    e = events.withColumnRenamed("team_id", "by_id").join(sides, ["season_id", "game_id"])
+    return e.withColumn("team_id", against).where("team_id is not null").drop("home_id", "visitor_id")
 
 
 def period_goals(league: League) -> DataFrame:
