@@ -35,7 +35,7 @@ def _cases(key: str, texts: list[str]) -> str:
 
 
 # Forms of texts, as SQL that both engines read.
-_TEAM = _cases("p_partkey", ["p_name || ' Squirts A1'", "'Mighty Mites'", "'mite B'", "p_name || ' U10 gold'", "'Pee Wee ' || p_name", "'06BSHL'", "'Coaches'", "p_name || ' Teams'", "'WHK'", "'WHK - ' || p_name", "'Learn to Play'", "'LTP'", "'U9'", "upper(p_name) || ' HIGH SCHOOL c'"])
+_TEAM = _cases("p_partkey", ["p_name || ' Squirts A1'", "'Mighty Mites'", "'mite B'", "p_name || ' U10 gold'", "'Pee Wee ' || p_name", "'06ELITE'", "'Coaches'", "p_name || ' Teams'", "'WHK'", "'WHK - ' || p_name", "'Learn to Play'", "'LTP'", "'U9'", "upper(p_name) || ' HIGH SCHOOL c'"])
 _TITLE = _cases("p_partkey", ["'Head Coach'", "' asst. coach '", "'Team manager'", "'Director of Hockey'", "''", "p_name", "'ASSISTANT COACH'"])
 _PERSON = _cases("p_partkey", ["p_name || ' - Vice President'", "'Treasurer: ' || p_name", "p_name || ' — ' || 'Registrar'", "p_name", "'Director - '", "'A: B - Secretary'"])
 _JOINED = _cases("p_partkey", ["'EdwardBourget'", "'EDWARDBOURGET'", "'EDWARD O''NEIL'", "'ED'", "p_name", "'  Ann-MarieSmith '"])
@@ -99,9 +99,9 @@ _add(
     "customer",
     "SELECT c_custkey, upper(array_to_string(list_transform(list_filter(string_split(replace(c_name, '#', ' ') || '  of ' || c_mktsegment, ' '), lambda w: w <> '')[1:3], lambda w: w[1]), '')) AS initials, CAST(ascii(c_mktsegment) % 6 AS BIGINT) AS colour, CASE WHEN c_custkey % 3 <> 0 THEN '[\"' || c_mktsegment || '\"]' END AS json FROM customer",
 )
-_CLUB = _cases("s_suppkey", ["'South Shore Eagles Hockey League'", "'Canton Youth Hockey'", "'WHK Hawks'", "'Boss ' || s_suppkey || ' Hockey Association'", "''", "'Abington League'"])
-_TOWN = _cases("s_suppkey", ["'South Shore'", "'Canton'", "'Whitman-Hanson'", "'Marshfield'", "'Hull'"])
-_ABBR = _cases("s_suppkey", ["'SSE'", "'CYH'", "'whk'", "NULL"])
+_CLUB = _cases("s_suppkey", ["'North Bay Eagles Hockey League'", "'Canton Youth Hockey'", "'WHK Hawks'", "'Boss ' || s_suppkey || ' Hockey Association'", "''", "'Abington League'"])
+_TOWN = _cases("s_suppkey", ["'North Bay'", "'Canton'", "'Whitman-Hanson'", "'Marshfield'", "'Hull'"])
+_ABBR = _cases("s_suppkey", ["'NBE'", "'CYH'", "'whk'", "NULL"])
 _ENDING = "(?:" + "|".join(names.ENDINGS) + ")$"
 _add(
     "f04_name_patterns",

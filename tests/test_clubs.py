@@ -24,16 +24,16 @@ def test_names_and_titles(spark):
 
 
 def test_teams_and_programs(spark):
-    assert values(spark, lambda x: names.is_team(x, F.lit("WHK")), ["WHK", "WHK Blue", "Hull Teams", "U8 Teams", "06BSHL", "News", "Odd", None]) == [False, True, False, True, True, False, False, False]
+    assert values(spark, lambda x: names.is_team(x, F.lit("WHK")), ["WHK", "WHK Blue", "Hull Teams", "U8 Teams", "06ELITE", "News", "Odd", None]) == [False, True, False, True, True, False, False, False]
     assert values(spark, names.is_team_header, ["8U Red", "8U head coaches", "x", None]) == [True, False, False, False]
     assert values(spark, names.program_name, [" House League ", " Travel ", None]) == [None, "Travel", None]
-    assert values(spark, names.initials, ["south shore  old team", "", None]) == ["SSO", "?", "?"]
+    assert values(spark, names.initials, ["north bay  old team", "", None]) == ["NBO", "?", "?"]
 
 
 def test_name_patterns(spark):
-    rows = [("SSE", "South Shore Eagles Hockey League", "South Shore"), ("WHK", "WHK Hawks", "Whitman-Hanson-Kingston"), (None, None, "Marshfield"), (None, None, None), ("CYH", "Canton Youth Hockey", "Canton")]
+    rows = [("NBE", "North Bay Eagles Hockey League", "North Bay"), ("WHK", "WHK Hawks", "Whitman-Hanson-Kingston"), (None, None, "Marshfield"), (None, None, None), ("CYH", "Canton Youth Hockey", "Canton")]
     got = values(spark, names.name_patterns, rows, ("a", "c", "t"))
-    assert got == [["south shore eagles", "south shore eagle", "eagles", "eagle", "sse"], ["whk hawks", "whk hawk", "whk"], ["marshfield"], [], ["canton", "cyh"]]
+    assert got == [["north bay eagles", "north bay eagle", "eagles", "eagle", "nbe"], ["whk hawks", "whk hawk", "whk"], ["marshfield"], [], ["canton", "cyh"]]
 
 
 def test_page_kind(spark):
