@@ -1,9 +1,10 @@
 """Chat formatting of reply trees with DataFrame operations only.
 
-Messages name their parent. Self-joins that double the reach of each message's path
-enumerate all root-to-leaf paths in as many rounds as the depth has bits; the paths of
-a tree are ranked by the sum of their scores, and each chosen one becomes one
-conversation. A turn reads
+Messages name their parent. Self-joins first find the ancestors at distances 1, 2, 4, …
+of each message; then each leaf's ancestors are doubled, from the nearest on. So all
+root-to-leaf paths are enumerated in as many rounds as the depth has bits, with one row
+for each message of a path. The paths of a tree are ranked by the sum of their scores,
+and each chosen one becomes one conversation. A turn reads
 
     ### role: text </turn>
 
@@ -41,24 +42,34 @@ def unescape(text: Column) -> Column:
 def paths(messages: DataFrame) -> DataFrame:
     """All root-to-leaf paths: tree, path (message ids from the root), score."""
     m = messages.select("tree", "node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
-    known = m.select(F.col("tree").alias("t"), F.col("node").alias("p"))
-    on = F.col("tree").eqNullSafe(F.col("t")) & (F.col("parent") == F.col("p"))
-    m = m.join(known, on, "left").select("tree", "node", F.col("p").alias("above"), "score")
-    reach = storage.table(m.withColumn("path", F.array("node")), "reach")
-    leaves = reach.select(F.col("tree").alias("t"), F.col("above").alias("p")).where("p is not null").distinct()
-    leaves = storage.table(reach.select("tree", "node").join(leaves, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("p")), "left_anti"), "leaves")
-    # Paths that have come to their root are set aside; the others double their reach.
-    done, running = reach.where("above is null"), reach.where("above is not null")
-    while running.limit(1).count():
-        far = done.unionByName(running).select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("above").alias("far"), F.col("path").alias("head"), F.col("score").alias("more"))
-        joined = running.join(far, F.col("tree").eqNullSafe(F.col("t")) & (F.col("above") == F.col("n")))
-        # A path that comes upon one of its own messages runs in a cycle and has no root.
-        joined = joined.where(~F.array_contains("path", F.col("n")) & ~F.arrays_overlap("path", "head"))
-        joined = storage.table(joined.select("tree", "node", F.col("far").alias("above"), (F.col("score") + F.col("more")).alias("score"), F.concat("head", "path").alias("path")), "reach")
-        done, running = done.unionByName(joined.where("above is null")), joined.where("above is not null")
-    reach = done
-    ends = leaves.select(F.col("tree").alias("t"), F.col("node").alias("n"))
-    return reach.join(ends, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n")), "left_semi").select("tree", "path", "score")
+    known = m.select(F.col("tree").alias("t"), F.col("node").alias("n"))
+    m = storage.table(m.join(known, _of("parent"), "left").select("tree", "node", F.col("n").alias("above"), "score"), "messages")
+    # Ancestors at distance 1, 2, 4, …: a row a message and round, until none is left.
+    jumps = [m.where("above is not null").select("tree", "node", "above")]
+    most = m.groupBy("tree").count().agg(F.max("count").alias("n")).first()["n"] or 0
+    while 1 << (len(jumps) - 1) < most and jumps[-1].limit(1).count():
+        far = jumps[-1].select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("above").alias("far"))
+        jumps.append(storage.table(jumps[-1].join(far, _of("above")).select("tree", "node", F.col("far").alias("above")), "ancestors"))
+    parents = jumps[0].select(F.col("tree").alias("t"), F.col("above").alias("n")).distinct()
+    # What has an ancestor farther away than its tree has messages lies on or below a cycle.
+    endless = jumps.pop().select(F.col("tree").alias("t"), F.col("node").alias("n"))
+    leaves = m.select("tree", "node").join(parents, _of("node"), "left_anti").join(endless, _of("node"), "left_anti")
+    reach = storage.table(leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).alias("up")), "reach")
+    for k, jump in enumerate(jumps):
+        far = jump.select(F.col("tree").alias("t"), F.col("node").alias("n"), "above")
+        more = reach.join(far, _of("node")).select("tree", "leaf", F.col("above").alias("node"), (F.col("up") + (1 << k)).alias("up"))
+        reach = reach.unionByName(storage.table(more, "reach"))
+    scored = reach.join(m.select(F.col("tree").alias("t"), F.col("node").alias("n"), "score"), _of("node"))
+    steps = F.sort_array(F.collect_list(F.struct((-F.col("up")).alias("at"), "node", "score")))
+    found = scored.groupBy("tree", "leaf").agg(steps.alias("steps"))
+    # Summed in the order of the path, so that reruns agree.
+    total = F.aggregate("steps", F.lit(0.0), lambda s, x: s + x["score"])
+    return found.select("tree", F.transform("steps", lambda x: x["node"]).alias("path"), total.alias("score"))
+
+
+def _of(node: str) -> Column:
+    """Joins messages named by columns tree and `node` with those named t and n."""
+    return F.col("tree").eqNullSafe(F.col("t")) & (F.col(node) == F.col("n"))
 
 
 def format_paths(messages: DataFrame, top: int = 1, loss_role: str = "assistant") -> DataFrame:
