@@ -37,6 +37,8 @@ SPAN, SYMBOL = 400, 16
 GRAMS = (200, 390, 400)
 #: Classes in a bucket that one group takes, and bytes of segments in a group, about.
 BUCKET_ROWS, GROUP_BYTES = 256, 1 << 18
+#: Groups of one task, about.
+TASK_GROUPS = 4
 #: Windows of one segment and bytes of text looked at together, at most.
 SEGMENT_WINDOWS, PIECE = 512, 1 << 20
 
@@ -271,7 +273,10 @@ def _merged(rows: DataFrame, n_groups: int) -> DataFrame:
         out = group[["h", "s", "m"]].assign(starts=[[{"a": a, "b": b} for a, b in runs(f)] for f in flags])
         return out[[len(x) > 0 for x in out["starts"]]]
 
-    return rows.groupBy(F.pmod(F.xxhash64("h"), F.lit(n_groups)).alias("group")).applyInPandas(run, _FOUND)
+    # The work of a group is in its suffixes, not in its bytes, by which small partitions would be put together.
+    n_tasks = min(-(-n_groups // TASK_GROUPS), 16 * rows.sparkSession.sparkContext.defaultParallelism)
+    dealt = rows.withColumn("group", F.pmod(F.xxhash64("h"), F.lit(n_groups))).repartition(n_tasks, "group")
+    return dealt.groupBy("group").applyInPandas(run, _FOUND)
 
 
 def _found(texts: DataFrame, level: int = 0) -> tuple[DataFrame, DataFrame]:
