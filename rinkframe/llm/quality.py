@@ -4,7 +4,8 @@ Rules on counts come first. Of the rows that pass them, statistics are transform
 their minimum-covariance-determinant estimate is fitted per language and source by
 concentration steps: a step sums the statistics by bucket of Mahalanobis distance, and
 the buckets nearest to the centre that hold `share` of the rows give the next mean and
-covariance. Rows far from the centre of their group are rejected. A group of fewer than
+covariance. Steps run from three fixed starts about the medians at once, and the smallest
+determinant is the estimate. Rows far from the centre of their group are rejected. A group of fewer than
 `least` rows is judged by its language's estimate, or by that of all rows.
 
 Sums are of integers, so that repeated runs agree bit by bit. A variance never counts
@@ -114,6 +115,8 @@ def chi_square_quantile(share: float, freedom: int) -> float:
 
 
 KEY = ["level", "g_lang", "g_source"]
+#: A chain of concentration steps: a group and its start.
+RUN = [*KEY, "start"]
 N = len(FLOORS)
 X = [f"x{i}" for i in range(N)]
 PAIRS = [(i, j) for i in range(N) for j in range(i + 1)]
@@ -128,7 +131,7 @@ def _distance() -> Column:
     return reduce(lambda a, b: a + b, [x * x for x in z])
 
 
-def _factor(params: DataFrame) -> DataFrame:
+def _factor(params: DataFrame, key: list[str]) -> DataFrame:
     """Cholesky factor c* of covariance columns s* with the floors added, and the logarithm of the determinant."""
     for i in range(N):
         for j in range(i + 1):
@@ -137,7 +140,7 @@ def _factor(params: DataFrame) -> DataFrame:
             # Rounding must not make a pivot fall below its floor.
             params = params.withColumn(f"c{i}{j}", F.sqrt(F.greatest(s, F.lit(FLOORS[i] ** 2))) if i == j else s / F.col(f"c{j}{j}"))
     det = reduce(lambda a, b: a + b, [F.log(f"c{i}{i}") for i in range(N)])
-    return params.select(*KEY, "n", *[f"m{i}" for i in range(N)], *[f"c{i}{j}" for i, j in PAIRS], det.alias("log_det"))
+    return params.select(*key, "n", *[f"m{i}" for i in range(N)], *[f"c{i}{j}" for i, j in PAIRS], det.alias("log_det"))
 
 
 def _moments(sums: DataFrame, scale: float) -> DataFrame:
@@ -145,7 +148,33 @@ def _moments(sums: DataFrame, scale: float) -> DataFrame:
     k = F.col("k").cast("double")
     out = sums.withColumns({f"m{i}": F.col(f"a{i}").cast("double") / k / UNIT for i in range(N)})
     exact = lambda i, j: (F.col(f"b{i}{j}").cast("double") / k - (F.col(f"a{i}").cast("double") / k) * (F.col(f"a{j}").cast("double") / k)) / UNIT**2
-    return _factor(out.withColumns({f"s{i}{j}": exact(i, j) * scale for i, j in PAIRS}))
+    return _factor(out.withColumns({f"s{i}{j}": exact(i, j) * scale for i, j in PAIRS}), RUN)
+
+
+def _starts(spread: DataFrame, scales: DataFrame) -> DataFrame:
+    """First estimates of each group: medians, and median deviations with three correlations.
+
+    These are none, that of the statistics' hyperbolic tangents, and that of their directions
+    from the medians. scales: n, q* (medians) and d* (deviations) of each group.
+    """
+    z = [(F.col(X[i]) - F.col(f"q{i}")) / F.greatest(F.col(f"d{i}") * 1.4826, F.lit(FLOORS[i] * UNIT)) for i in range(N)]
+    length = F.sqrt(reduce(lambda a, b: a + b, [x * x for x in z]))
+    rows = _by_group(spread, scales).withColumns({f"t{i}": F.tanh(z[i]) for i in range(N)} | {f"u{i}": F.coalesce(z[i] / F.nullif(length, F.lit(0.0)), F.lit(0.0)) for i in range(N)})
+    whole = lambda x: F.sum(F.round(x * UNIT**2).cast("long").cast("decimal(19,0)")).cast("double")
+    sums = rows.groupBy(*KEY).agg(*[F.first(c).alias(c) for c in scales.columns if c not in KEY], *[whole(F.col(f"{k}{i}") * F.col(f"{k}{j}")).alias(f"{k}{i}{j}") for k in "tu" for i, j in PAIRS])
+    deviation = [F.col(f"d{i}") * 1.4826 / UNIT for i in range(N)]
+
+    def covariance(kind: str | None, i: int, j: int) -> Column:
+        if i == j:
+            return F.pow(deviation[i], 2)
+        if kind is None:
+            return F.lit(0.0)
+        both = F.sqrt(F.col(f"{kind}{i}{i}") * F.col(f"{kind}{j}{j}"))
+        return F.coalesce(F.col(f"{kind}{i}{j}") / F.nullif(both, F.lit(0.0)), F.lit(0.0)) * deviation[i] * deviation[j]
+
+    each = [F.struct(F.lit(k).alias("start"), *[covariance(kind, i, j).alias(f"s{i}{j}") for i, j in PAIRS]) for k, kind in enumerate([None, "t", "u"])]
+    means = [(F.col(f"q{i}") / UNIT).alias(f"m{i}") for i in range(N)]
+    return _factor(sums.select(*KEY, "n", *means, F.explode(F.array(*each)).alias("s")).select(*KEY, "n", *[f"m{i}" for i in range(N)], "s.*"), RUN)
 
 
 def estimate(points: DataFrame, share: float = SHARE, steps: int = STEPS) -> DataFrame:
@@ -162,28 +191,29 @@ def estimate(points: DataFrame, share: float = SHARE, steps: int = STEPS) -> Dat
     middle = [F.percentile_approx(x, F.lit(0.5), F.lit(10000)).alias(f"q{i}") for i, x in enumerate(X)]
     centre = storage.table(spread.groupBy(*KEY).agg(F.count("*").alias("n"), *middle), "medians")
     off = [F.percentile_approx(F.abs(F.col(x) - F.col(f"q{i}")), F.lit(0.5), F.lit(10000)).alias(f"d{i}") for i, x in enumerate(X)]
-    start = _by_group(spread, centre).groupBy(*KEY).agg(F.first("n").alias("n"), *[F.first(f"q{i}").alias(f"q{i}") for i in range(N)], *off)
-    start = start.withColumns({f"m{i}": F.col(f"q{i}") / UNIT for i in range(N)} | {f"s{i}{j}": F.pow(F.col(f"d{i}") * 1.4826 / UNIT, 2) if i == j else F.lit(0.0) for i, j in PAIRS})
-    params = storage.table(_factor(start), "start")
+    scales = _by_group(spread, centre).groupBy(*KEY).agg(F.first("n").alias("n"), *[F.first(f"q{i}").alias(f"q{i}") for i in range(N)], *off)
+    params = storage.table(_starts(spread, storage.table(scales, "scales")), "start")
     scale = share / chi_square(chi_square_quantile(share, N), N + 2)
     whole = lambda x: F.sum(x.cast("decimal(19,0)"))
     sums = [whole(F.col(X[i])).alias(f"a{i}") for i in range(N)] + [whole(F.col(X[i]) * F.col(X[j])).alias(f"b{i}{j}") for i, j in PAIRS]
     for _ in range(steps):
         bucket = F.floor(F.log(_distance() + 1e-3) * 64).cast("int")
-        near = _by_group(spread, params).withColumn("bucket", bucket).groupBy(*KEY, "bucket").agg(F.count("*").alias("k"), *sums)
-        # A window over the buckets of a group, of which there are a few thousand at most.
-        inner = W.partitionBy(*KEY).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-        all_ = W.partitionBy(*KEY)
+        near = _by_group(spread, params).withColumn("bucket", bucket).groupBy(*RUN, "bucket").agg(F.count("*").alias("k"), *sums)
+        # A window over the buckets of a run, of which there are a few thousand at most.
+        inner = W.partitionBy(*RUN).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+        all_ = W.partitionBy(*RUN)
         near = near.withColumn("n", F.sum("k").over(all_)).withColumn("before", F.coalesce(F.sum("k").over(inner), F.lit(0)))
         near = near.where(F.col("before") < F.ceil(F.col("n") * share))
-        near = near.groupBy(*KEY).agg(F.first("n").alias("n"), F.sum("k").alias("k"), *[F.sum(f"a{i}").alias(f"a{i}") for i in range(N)], *[F.sum(f"b{i}{j}").alias(f"b{i}{j}") for i, j in PAIRS])
+        near = near.groupBy(*RUN).agg(F.first("n").alias("n"), F.sum("k").alias("k"), *[F.sum(f"a{i}").alias(f"a{i}") for i in range(N)], *[F.sum(f"b{i}{j}").alias(f"b{i}{j}") for i, j in PAIRS])
         new = storage.table(_moments(near, scale), "step")
-        old = params.select(*[F.col(k).alias(f"o_{k}") for k in KEY], F.col("log_det").alias("o_det"))
-        moved = _on(new, old, "o_").where(F.abs(F.col("log_det") - F.col("o_det")) > SETTLED).limit(1).count()
+        old = params.select(*[F.col(k).alias(f"o_{k}") for k in RUN], F.col("log_det").alias("o_det"))
+        moved = _on(new, old, "o_").where(F.col("start") == F.col("o_start")).where(F.abs(F.col("log_det") - F.col("o_det")) > SETTLED).limit(1).count()
         params = new
         if not moved:
             break
-    return params
+    # Of starts that settle alike, the first.
+    least = F.min_by(F.struct(*[c for c in params.columns if c not in RUN]), F.struct(F.round("log_det", 6), "start"))
+    return storage.table(params.groupBy(*KEY).agg(least.alias("p")).select(*KEY, "p.*"), "least")
 
 
 def _on(left: DataFrame, right: DataFrame, prefix: str, how: str = "inner") -> DataFrame:

@@ -36,26 +36,37 @@ def test_slow_way_gives_the_same(spark, monkeypatch):
     assert {r.id: tuple(r)[2:] for r in got} == {i: counts(t) for i, t in enumerate(texts)}
 
 
+def starts(x):
+    """Medians, and covariances by median deviations with three correlations."""
+    lower = lambda v: np.sort(v, axis=0)[(len(v) - 1) // 2]
+    m = lower(x)
+    sd = lower(np.abs(x - m)) * 1.4826
+    z = (x - m) / np.maximum(sd, quality.FLOORS)
+    length = np.linalg.norm(z, axis=1, keepdims=True)
+    for y in (None, np.tanh(z), z / np.where(length > 0, length, 1)):
+        r = np.eye(4) if y is None else (y.T @ y) / np.sqrt(np.outer((y * y).sum(0), (y * y).sum(0)))
+        yield m, r * np.outer(sd, sd)
+
+
 def by_hand(x, share):
-    """Concentration steps in numpy, by the same start, buckets and floors."""
+    """The least determinant of three chains of concentration steps in numpy, by the same buckets and floors."""
     floors = np.diag(np.square(quality.FLOORS))
     scale = share / quality.chi_square(quality.chi_square_quantile(share, 4), 6)
-    lower = lambda v: np.sort(v, axis=0)[(len(v) - 1) // 2]
-    m = lower(x)
-    s = np.diag(np.square(lower(np.abs(x - m)) * 1.4826)) + floors
-    old = np.linalg.slogdet(s + 0)[1] / 2
+    distance = lambda m, s: np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(s), x - m)
+    half_log = lambda s: np.linalg.slogdet(s)[1] / 2
+    chains = [(m, s + floors) for m, s in starts(x)]
     for _ in range(quality.STEPS):
-        d = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(s), x - m)
-        bucket = np.floor(np.log(d + 1e-3) * 64)
-        near = np.zeros(len(x), bool)
-        for b in np.unique(bucket):
-            if near.sum() < np.ceil(share * len(x)):
-                near |= bucket == b
-        m, s = x[near].mean(0), np.cov(x[near].T, bias=True) * scale + floors
-        old, new = np.linalg.slogdet(s)[1] / 2, old
-        if abs(old - new) <= quality.SETTLED:
+        before = [half_log(s) for _, s in chains]
+        for k, (m, s) in enumerate(chains):
+            bucket = np.floor(np.log(distance(m, s) + 1e-3) * 64)
+            near = np.zeros(len(x), bool)
+            for b in np.unique(bucket):
+                if near.sum() < np.ceil(share * len(x)):
+                    near |= bucket == b
+            chains[k] = x[near].mean(0), np.cov(x[near].T, bias=True) * scale + floors
+        if all(abs(half_log(s) - old) <= quality.SETTLED for (_, s), old in zip(chains, before, strict=True)):
             break
-    return np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(s), x - m)
+    return distance(*min(chains, key=lambda c: round(half_log(c[1]), 6)))
 
 
 def test_estimate_against_numpy(spark):
@@ -73,6 +84,20 @@ def test_estimate_against_numpy(spark):
     assert (have[:40] > cut).all() and (have[40:] < cut).all()
 
 
+def test_verdict_follows_the_estimate(spark):
+    # Two statistics that go together: a row off their line is rejected, one as far along it stays.
+    rng = np.random.default_rng(4)
+    line = rng.normal(size=600)
+    x = np.stack([0.5 + 2 * line, 0.4 + 2 * line + 0.05 * rng.normal(size=600), 0.3 + 0.05 * rng.normal(size=600), 0.3 + 0.05 * rng.normal(size=600)], 1)
+    x[0], x[1] = [4.5, 4.4, 0.3, 0.3], [2.5, -1.6, 0.3, 0.3]
+    points = spark.createDataFrame([("en", None, *map(int, np.round(r * quality.UNIT))) for r in x], "g_lang string, g_source string, x0 long, x1 long, x2 long, x3 long")
+    params = quality.estimate(points).where("level = 0")
+    got = quality._by_group(points.withColumn("level", F.lit(0)), params).where("x0 in (18432, 10240)").select("x0", quality._distance().alias("d")).collect()
+    far = {r.x0: r.d for r in got}
+    cut = quality.chi_square_quantile(1 - quality.TAIL, 4)
+    assert far[18432] < cut < far[10240]
+
+
 def clean(rng, n):
     lines = [" ".join("".join(rng.choice(list("etaoinshrdlu"), size=int(k))) for k in rng.integers(1, 9, 12)) for _ in range(n // 12 + 1)]
     return "\n".join(lines)
