@@ -4,7 +4,9 @@ Words are summed per source; targets share the whole by weight, no source above
 `most` times its size, the excess shared anew until none is above. A document comes
 floor(rate) times, and once more where a hash of a seed and its doc_id falls below
 the rate's fraction. Each source takes, of a few seeds, the one whose draws come
-nearest to its target, so that small sources do not stray.
+nearest to its target, so that small sources do not stray. Given the seed, draws are as
+independent as the hash; the choice makes the number of extra copies of a source vary
+less than that of one seed's draws would, and favours no document beforehand.
 
 Defined cases: a null text has size 0; the null source is a source of its own, ranked
 last; a source without words has rate 0; rows that share a doc_id get the same draw; a
@@ -34,34 +36,34 @@ def draw(doc_id: Column, seed: Column) -> Column:
     return F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
 
 
-def ranked(sources: DataFrame) -> DataFrame:
-    """Add rank_ (from 0) by code point of column source, null last, without one task that holds all sources."""
-    n = max(1, int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    order = [F.col("source").isNull(), F.col("source")]
-    dealt = sources.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("at_", F.monotonically_increasing_id())
-    dealt = storage.table(dealt, "ranked").withColumn("part_", F.shiftright("at_", 33))
-    sizes = dealt.groupBy("part_").agg(F.count("*").alias("n_"))
+def ranked(rows: DataFrame, order: Sequence[Column], sums: dict[str, Column]) -> DataFrame:
+    """Add for each name in sums the sum of its column over the rows before, in this order, without one task that holds all rows."""
+    n = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = rows.withColumns(sums).repartitionByRange(n, *order).withColumn("part_", F.spark_partition_id())
+    dealt = storage.table(dealt, "ranked")
+    before = lambda name, w: F.coalesce(F.sum(name).over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    parts = dealt.groupBy("part_").agg(*[F.sum(k).alias(k) for k in sums])
     # A window over one row per partition, at most n.
-    before = sizes.withColumn("before_", F.coalesce(F.sum("n_").over(W.orderBy("part_").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("n_")
-    return dealt.join(before, "part_").withColumn("rank_", F.col("before_") + F.col("at_").bitwiseAND(F.lit((1 << 33) - 1))).drop("at_", "part_", "before_")
+    parts = parts.select("part_", *[before(k, W.orderBy("part_")).alias(f"{k}_") for k in sums])
+    inside = W.partitionBy("part_").orderBy(*order)
+    out = dealt.withColumns({k: before(k, inside) for k in sums}).join(parts, "part_")
+    return out.withColumns({k: F.col(k) + F.col(f"{k}_") for k in sums}).drop("part_", *[f"{k}_" for k in sums])
 
 
 def source_targets(sized: DataFrame, weights: Sequence[float] = (5, 2, 1), most: float = 3.0) -> DataFrame:
     """Target of each source: source, source_size, target, rate. sized: columns source and size."""
     sources = sized.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
-    sources = ranked(sources).withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank_") % len(weights) + 1).cast("int")))
-    sources = storage.table(sources.drop("rank_"), "sources")
+    by_name = [F.col("source").isNull(), F.col("source")]
+    sources = ranked(sources, by_name, {"rank_": F.lit(1)})
+    sources = storage.table(sources.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank_") % len(weights) + 1).cast("int"))).drop("rank_"), "sources")
     cap = F.col("source_size") * F.lit(float(most))
-    total = sources.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("n")).first()["n"]
-    level, capped = 0.0, -1
-    while True:
-        # A source once above its cap stays there, as the level only rises. Each round returns one row.
-        above = F.col("weight") * F.lit(level) > cap
-        row = sources.agg(F.count_if(above).alias("n"), F.coalesce(F.sum(F.when(above, F.col("source_size"))), F.lit(0)).alias("full"), F.coalesce(F.sum(F.when(~above, F.col("weight"))), F.lit(0.0)).alias("open")).first()
-        if row["n"] == capped or not row["open"]:
-            break
-        capped = row["n"]
-        level = (float(total) - most * float(row["full"])) / row["open"]
+    whole = sources.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("n"), F.coalesce(F.sum("weight"), F.lit(0.0)).alias("w")).first()
+    # Sources by the level at which they are full: the first that is not full at the level of those before it sets the level of all.
+    full_at = F.when(F.col("weight") > 0, cap / F.nullif(F.col("weight"), F.lit(0.0))).otherwise(F.lit(float("inf")))
+    filled = ranked(sources, [full_at, *by_name], {"full_": F.col("source_size"), "shut_": F.col("weight")})
+    level = (F.lit(float(whole["n"])) - F.lit(float(most)) * F.col("full_").cast("double")) / F.nullif(F.lit(whole["w"]) - F.col("shut_"), F.lit(0.0))
+    level = filled.where(full_at >= level).agg(F.min_by(level, F.struct(full_at, *by_name)).alias("level")).first()["level"]
+    level = float("inf") if level is None else level
     target = F.least(F.col("weight") * F.lit(level), cap)
     return sources.select("source", "source_size", target.alias("target"), F.when(F.col("source_size") > 0, target / F.col("source_size")).otherwise(F.lit(0.0)).alias("rate"))
 
