@@ -203,7 +203,8 @@ def _signed(docs: DataFrame, width: int, per_cent: int, n_buckets: int) -> DataF
             rows = [(-1, block, key[again].tobytes(), who[again].tobytes(), members.tobytes())]
             key, who = key[begins], who[begins]
             cut = np.flatnonzero(np.append(True, (key[1:] ^ key[:-1]) >> np.uint64(32) != 0)[: len(key)])
-            for x, y in zip(cut.tolist(), [*cut[1:].tolist(), len(key)], strict=True):
+            # A block of blank or short texts has no signature, and then only its members travel.
+            for x, y in zip(cut.tolist(), np.append(cut, len(key))[1:].tolist(), strict=True):
                 rows.append((int(key[x] >> np.uint64(32)), block, key[x:y].astype(np.uint32).tobytes(), who[x:y].tobytes(), None))
             types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["bucket", "block", "prints", "who", "members"])
