@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, jaccard, lattice_lm, mixing, packing, quality, suffix_dedup, token_shards, warc
+from . import chat, exact_dedup, jaccard, lattice_lm, mixing, packing, piece_codec, quality, suffix_dedup, token_shards, warc
 from . import storage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,15 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("n_copies") * F.col("size")).alias("taken"))
 
 
+def op11_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    out = piece_codec.decode(piece_codec.encode(read(spark, sf_dir, "documents"), path), path)
+    decimal = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(decimal, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_rules": op2_quality_rules,
@@ -93,6 +102,7 @@ QUERIES: dict[str, Query] = {
     "op8_warc": op8_warc,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mix_sources": op10_mix_sources,
+    "op11_piece_codec": op11_piece_codec,
 }
 
 ORACLE: dict[str, str] = {
