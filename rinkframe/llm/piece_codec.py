@@ -39,9 +39,9 @@ from .words import arrow_bytes, slices
 #: Fixed value: the character that stands for a space.
 MARK = "▁"
 #: Parts whose ids a worker keeps, ids that it keeps, and pairs of pieces whose answer it keeps.
-KEPT, KEPT_IDS, KEPT_PAIRS = 1 << 20, 1 << 22, 1 << 20
+KEPT, KEPT_IDS, KEPT_PAIRS = 1 << 18, 1 << 22, 1 << 19
 #: Characters of new parts, and characters of a text, that are worked on together.
-TOGETHER, LONG = 1 << 18, 1 << 22
+TOGETHER, LONG = 1 << 17, 1 << 21
 #: Positions of a very long part whose matches are held together; bytes of texts that are worked on together.
 WINDOW, SLICE_BYTES = 1 << 12, 1 << 22
 #: Score of what is no piece; bits of a number of a piece, and of a piece's length.
@@ -294,6 +294,11 @@ def _codec(model: bytes) -> Codec:
     return Codec(model)
 
 
+@lru_cache(maxsize=2)
+def _library(model: bytes) -> SentencePieceProcessor:
+    return SentencePieceProcessor(model_proto=model)
+
+
 def _model(path: str) -> bytes:
     with open(path, "rb") as f:
         return f.read()
@@ -321,7 +326,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     model = _model(path)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library = _codec(model).library
+        library = _library(model)
         for b in batches:
             for low in range(0, len(b), 1 << 10):
                 part = b.slice(low, 1 << 10)
