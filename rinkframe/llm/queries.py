@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, jaccard, lattice_lm, mixing, packing, piece_codec, quality, suffix_dedup, token_shards, warc
+from . import chat, divergence, exact_dedup, jaccard, lattice_lm, merkle, mixing, packing, piece_codec, quality, suffix_dedup, token_shards, warc
 from . import storage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +91,49 @@ def op11_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(decimal, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    shown = F.when(tampered, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    return merkle.manifest(read(spark, sf_dir, "documents"), shown={"text": shown})
+
+
+def _merkle_sql(levels: int = 18) -> str:
+    """The manifest level by level, for up to 3 ** levels rows of a source, and sources."""
+    part = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode(CAST({c} AS VARCHAR))) || ':' || CAST({c} AS VARCHAR) END"
+    row = lambda text: "sha256(" + " || ".join(map(part, ["doc_id", "source", "lang", "n_chars", text])) + ")"
+    # CRC-32, a bit at a time, the lowest bit of a byte first.
+    bits = "flatten(list_transform(range(length(k)), lambda i: list_transform(range(8), lambda b: (ascii(substr(k, i + 1, 1)) >> b) & 1)))"
+    crc = f"list_reduce({bits}, lambda c, b: xor(c >> 1, 3988292384::BIGINT * (xor(c, b) & 1)), 4294967295::BIGINT)"
+    out = f"""WITH d AS (
+  SELECT *, CASE WHEN doc_id IS NULL THEN 1 ELSE 1 - xor({crc.replace("(k", "(CAST(doc_id AS VARCHAR)")}, 4294967295::BIGINT) % 2 END AS even FROM documents
+), h AS (
+  SELECT doc_id, source, {row("text")} AS leaf, CASE WHEN doc_id IS NOT NULL AND even = 1 THEN {row("replace(text, chr(10), '')")} ELSE {row("text")} END AS shown FROM d
+), s0 AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id, leaf, shown AS cur, '' AS proof, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM h
+), n0 AS MATERIALIZED (SELECT tree, idx, leaf AS h FROM s0)"""
+    for k in range(2 * levels):
+        if k == levels:
+            # The subroots become the leaves of one tree.
+            out += f""", sub AS MATERIALIZED (SELECT tree, h AS subroot FROM n{k})
+, s{k}t AS MATERIALIZED (SELECT row, cur, proof, CAST(0 AS BIGINT) AS tree, tree AS idx FROM s{k}), n{k}t AS MATERIALIZED (SELECT CAST(0 AS BIGINT) AS tree, tree AS idx, h FROM n{k})"""
+        top = "t" if k == levels else ""
+        out += f"""
+, r{k} AS MATERIALIZED (SELECT tree, idx // 3 AS up, list(h ORDER BY idx) AS hs, any_value(c) AS c FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS c FROM n{k}{top}) GROUP BY ALL)
+, n{k + 1} AS MATERIALIZED (SELECT tree, up AS idx, CASE WHEN c = 1 THEN hs[1] ELSE sha256(array_to_string(hs, '')) END AS h FROM r{k})
+, s{k + 1} AS MATERIALIZED (
+  SELECT row, {"doc_id, leaf, " if k < levels else ""}tree, up AS idx, CASE WHEN c = 1 THEN proof ELSE proof || pre || post END AS proof, CASE WHEN c = 1 THEN cur ELSE sha256(pre || cur || post) END AS cur
+  FROM (SELECT s.*, up, c, array_to_string(hs[:idx % 3], '') AS pre, array_to_string(hs[idx % 3 + 2:], '') AS post FROM s{k}{top} s JOIN r{k} r ON r.tree = s.tree AND r.up = s.idx // 3))"""
+    return out + f"""
+SELECT doc_id, leaf, subroot, h AS root, sha256(f.proof) AS proof_sha256, f.cur AS folded_root, f.cur = h AS verified
+FROM s{levels} a JOIN sub ON sub.tree = a.tree JOIN s{2 * levels} f ON f.row = a.row CROSS JOIN n{2 * levels}
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_rules": op2_quality_rules,
@@ -103,6 +146,8 @@ QUERIES: dict[str, Query] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mix_sources": op10_mix_sources,
     "op11_piece_codec": op11_piece_codec,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE: dict[str, str] = {
@@ -171,4 +216,41 @@ WITH d AS (
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, taken
 FROM k JOIN b ON k.seed = b.seed AND k.source IS NOT DISTINCT FROM b.source AND b.place = 1
 """,
+    "op12_source_divergence": r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text, row_number() OVER () AS row FROM documents
+), o AS (
+  SELECT lang, source, row, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), c AS (
+  SELECT lang, source, term, count(*) AS n, count(DISTINCT row) AS df FROM o GROUP BY ALL
+), k AS (
+  SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL HAVING sum(df) >= 30
+), v AS (
+  SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang
+), g AS (
+  SELECT lang, source, coalesce(v, 0) AS v FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN v USING (lang)
+), f AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, g.v FROM g JOIN k ON g.lang = k.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), t AS (
+  SELECT lang, source, sum(n) AS total FROM f GROUP BY ALL
+), p AS (
+  SELECT f.*, 1 + (1000000000::HUGEINT * (n + 5)) // (t.total + 5 * f.v)::HUGEINT AS p FROM f JOIN t USING (lang, source)
+), q AS (
+  SELECT k.lang, k.term, 1 + (1000000000::HUGEINT * (k.n + 5)) // (v.total + 5 * v.v)::HUGEINT AS q FROM k JOIN v USING (lang)
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(x.p - y.p)) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY ALL
+), term AS (
+  SELECT p.lang, p.source, p.term AS item, p.p - q.q AS value FROM p JOIN q USING (lang, term) WHERE p.n > 0 AND p.p > q.q
+), r AS (
+  SELECT lang, source, 'pair' AS part, item, CAST(coalesce(value, 0) AS BIGINT) AS value FROM pair
+  UNION ALL SELECT lang, source, 'term', item, CAST(value AS BIGINT) FROM term
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM r
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
+""",
+    "op13_merkle_manifest": _merkle_sql(),
 }
