@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _scopes: dict[str, list[tuple[SparkSession, str]]] = {}
@@ -40,6 +41,19 @@ def table(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def checkpointed(rdd: RDD) -> RDD:
+    """An RDD held by a reliable checkpoint in the shared folder, computed once, and noted for `release`."""
+    spark = SparkSession.active()
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    rdd = rdd.persist(StorageLevel.MEMORY_AND_DISK)
+    rdd.checkpoint()
+    rdd.count()
+    rdd.unpersist()
+    _scopes.setdefault(_scope[-1], []).append((spark, rdd.getCheckpointFile()))
+    return rdd
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables made by `table`; nothing that still has to run may read them."""
     for df in tables:
