@@ -62,6 +62,12 @@ def schedule_games(pages: DataFrame, column: str = "json") -> DataFrame:
     return g.select(F.col("g.id").alias("game_id"), F.coalesce("g.date", "day").alias("game_date"), F.coalesce(F.lower("g.status"), F.lit("scheduled")).alias("status"), F.col("g.location").alias("location"), one("homeTeam", "home", "id").alias("home_id"), name("homeTeam", "home").alias("home_name"), one("visitorTeam", "visitor", "id").alias("visitor_id"), name("visitorTeam", "visitor").alias("visitor_name")).dropDuplicates(["game_id"])
 
 
+def games_in(json: Column) -> Column:
+    """Games of a schedule page that have an id; 0 of an absent or broken page."""
+    days = F.flatten(F.map_values(F.from_json(json, SCHEDULE)))
+    return F.coalesce(F.aggregate(days, F.lit(0), lambda n, d: n + F.coalesce(F.size(F.filter(d["games"], lambda g: g["id"].isNotNull())), F.lit(0))), F.lit(0))
+
+
 def standings_teams(pages: DataFrame, column: str = "json") -> DataFrame:
     """Teams of standings whose columns are parallel arrays; what a short array lacks is null."""
     d = pages.select(F.explode(F.from_json(column, STANDINGS)).alias("d")).select(F.col("d.id").alias("division_id"), F.col("d.title").alias("division"), "d.tableData.*")
