@@ -27,7 +27,7 @@ DEFAULTS = {"source_url": "", "status": "scheduled", "conference": "SSC"}
 
 def _files(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """Files of one name in all club folders: club, text."""
-    found = spark.read.option("wholetext", True).option("pathGlobFilter", f"{name}.json").option("recursiveFileLookup", True).text(folder)
+    found = spark.read.text(folder, wholetext=True, pathGlobFilter=f"{name}.json", recursiveFileLookup=True)
     return found.select(F.regexp_extract("_metadata.file_path", r"([^/]+)/[^/]+$", 1).alias("club"), F.col("value").alias("text"))
 
 

@@ -11,7 +11,7 @@ def write(root, files):
     for name, text in files.items():
         place = root / name
         place.parent.mkdir(parents=True, exist_ok=True)
-        place.write_text(text if isinstance(text, str) else json.dumps(text))
+        place.write_text(text if isinstance(text, str) else json.dumps(text, indent=2))
     return f"file://{root}"
 
 
