@@ -60,7 +60,7 @@ SELECT page_id, 1, '', '1/' || (page_id % 28 + 1) || '/2024', '', 'Plain', 'Othe
 _HOME2 = "CASE WHEN page_id % 4 = 0 THEN 'x' ELSE '' || page_id % 6 END"
 _PERIODS = (
     "'<table class=\"boxscore\"><thead>' || CASE WHEN page_id % 3 = 0 THEN "
-    + _row("'T'", "'1'", tag="th")
+    + _row("'Team'", "'1'", tag="th")
     + " ELSE "
     + _row("'Team'", "'2'", "'1'", "'OT'", "'T'", tag="th")
     + " END || '</thead><tbody>' || "
