@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import changes
+from ..sinks.tables import KeyedTable
 
 
 def windowed_counts(events: DataFrame, every: str = "1 hour", late: str = "2 hours") -> DataFrame:
@@ -19,16 +19,25 @@ def windowed_counts(events: DataFrame, every: str = "1 hour", late: str = "2 hou
     return e.groupBy(F.window("ts", every), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("window.start").alias("start"), "event_type", "n", "total")
 
 
-def merge_stream(new: DataFrame, path: str, checkpoint: str, key: str, watched: list[str]) -> StreamingQuery:
-    """Merge each micro-batch of snapshots into a table of versions; the newest version holds the state.
+def merge_stream(new: DataFrame, table: KeyedTable, checkpoint: str, watched: list[str], keep: int = 10) -> StreamingQuery:
+    """Merge each micro-batch of snapshots into a keyed table: only buckets that the batch touches are written anew.
 
-    A version is named by its batch, so a batch that is run again writes the same one.
+    A batch that is run again makes no second version; the last `keep` versions stay.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        rows = changes.last_wins(batch, [key], [F.desc(c) for c in batch.columns if c != key])
-        if number:
-            rows = changes.merge_snapshots(batch.sparkSession.read.parquet(f"{path}/v{number - 1}"), rows, key, watched).drop("change_type")
-        rows.write.mode("overwrite").parquet(f"{path}/v{number}")
+        if not batch.isEmpty():
+            table.merge(batch, watched, run=f"batch {number}")
+            table.rotate(keep)
 
     return new.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def append_stream(new: DataFrame, table: KeyedTable, checkpoint: str) -> StreamingQuery:
+    """Append each micro-batch of events under keys that the table lacks; a batch that is run again adds nothing."""
+
+    def append(batch: DataFrame, number: int) -> None:
+        if not batch.isEmpty():
+            table.append(batch, run=f"batch {number}")
+
+    return new.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
