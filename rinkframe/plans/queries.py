@@ -9,7 +9,7 @@ from ..functions import core
 from ..operators import changes, directory, logos, monitor, players, quality, resolve, strength, teams
 from ..sources import documents, pseudo
 from ..streaming import events
-from . import captures, clubs, corpus, stores
+from . import captures, clubs, corpus, lookups, stores
 
 #: The adapter of sources.pseudo as common table expressions.
 BASE = """
@@ -282,7 +282,7 @@ _add("t_windowed_events", _t(lambda e: events.windowed_counts(e).select(F.date_f
 _add("a20_league_summary", _q(lambda x: directory.league_summary(teams.record(x))), "SELECT season_id, count(DISTINCT division_id) AS n_divisions, count(*) AS n_teams, CAST(round(sum(gp) / 2e0) AS BIGINT) AS n_games FROM record GROUP BY season_id")
 _add("a22_box_score_share", _q(lambda x: x.games.join(x.goals.select("game_id").distinct().withColumn("has", F.lit(True)), "game_id", "left").groupBy("season_id").agg(F.count_if("has").alias("with_goals"), F.count("home_score").alias("scored")).withColumn("share", directory.share_text(F.col("with_goals"), F.col("scored")))), "SELECT *, CASE WHEN scored = 0 THEN 'N/A' ELSE printf('%.1f%%', with_goals * 100e0 / scored) END AS share FROM (SELECT season_id, CAST(count_if(h) AS BIGINT) AS with_goals, count(home_score) AS scored FROM games LEFT JOIN (SELECT DISTINCT game_id, true AS h FROM goals) USING (game_id) GROUP BY season_id)")
 _add("t06_schedule_changes", _q(lambda x: changes.schedule_changes(x.games.where("game_id % 11 <> 0").withColumn("status", F.when(F.col("game_id") % 7 == 0, "scheduled").otherwise(F.col("status"))), x.games, "1997-03-01")), "SELECT *, new_games + status_changes AS updated FROM (SELECT CAST(count_if(game_id % 11 = 0) AS BIGINT) AS new_games, abs(CAST(count_if(status = 'final') AS BIGINT) - CAST(count_if(status = 'final' AND game_id % 11 <> 0 AND game_id % 7 <> 0) AS BIGINT)) AS status_changes FROM games)")
-for _module in (clubs, captures, stores):
+for _module in (clubs, captures, stores, lookups):
     for _name, _make in _module.QUERIES.items():
         _add(_name, _make, _module.ORACLE[_name], base=_name in getattr(_module, "BASED", ()))
 
