@@ -61,6 +61,13 @@ def fill_blanks(rows: DataFrame, lookup: DataFrame, key: str, column: str) -> Da
     return rows.join(best, key, "left").withColumn(column, F.when(core.blank(F.col(column)), F.coalesce("fill_", column)).otherwise(F.col(column))).drop("fill_")
 
 
+def update_from(rows: DataFrame, values: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Rows with columns set from values where their key is there, else as they were; of several values for a key the greatest."""
+    best = values.groupBy(key).agg(F.max(F.struct(*columns)).alias("set_"))
+    out = rows.join(best, key, "left")
+    return out.withColumns({c: F.when(F.col("set_").isNotNull(), F.col(f"set_.{c}")).otherwise(F.col(c)) for c in columns}).select(*rows.columns)
+
+
 def schedule_state(games: DataFrame, as_of) -> DataFrame:
     """Counts by state, and games of the day and the day after."""
     day = F.to_date(F.lit(as_of))

@@ -49,3 +49,9 @@ def goal_roles(goals: DataFrame, twice: bool = False) -> DataFrame:
         assists = F.array_distinct(assists)
     roles = F.concat(F.array(F.struct(F.col("scorer_id").alias("player_id"), F.lit("g").alias("role"))), F.transform(assists, lambda a: F.struct(a.alias("player_id"), F.lit("a").alias("role"))))
     return goals.select("season_id", "game_id", "team_id", "pp", "sh", "gw", "en", F.inline(roles)).where("player_id is not null")
+
+
+def teams_with_games(league: League) -> DataFrame:
+    """Teams that are a side of some game of their season."""
+    played = league.games.select("season_id", F.explode(F.array("home_id", "visitor_id")).alias("team_id"))
+    return league.teams.join(played, ["season_id", "team_id"], "left_semi")

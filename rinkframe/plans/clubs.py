@@ -132,14 +132,15 @@ _add(
     ["supplier", "nation"],
     "SELECT DISTINCT s_suppkey, CAST(n_nationkey AS BIGINT) AS team_id, n_name FROM supplier JOIN nation ON n_nationkey = s_suppkey % 25 OR n_nationkey = s_suppkey % 7 WHERE s_suppkey % 4 <> 0",
 )
-_DIVISION = _cases("p_partkey", ["'2012 Elite'", "'U14 ' || p_name", "'GIRLS SCHOOL'", "'Fed Futures'", "p_name", "'G10 BOG'"])
+# Each name once, so that places are without ties.
+_DIVISION = "(" + _cases("p_partkey", ["'2012 Elite'", "'U14 ' || p_name", "'GIRLS SCHOOL'", "'Fed Futures'", "p_name", "'G10 BOG'"]) + ") || ' ' || p_partkey"
 _add(
     "p14_categories",
-    lambda p: directory.categories(p.select("p_partkey", F.expr(_DIVISION).alias("division_name"), F.expr("CASE WHEN p_size % 2 = 0 THEN '10477' ELSE 'other' END").alias("league_id"))).select("p_partkey", "league_id", "category"),
+    lambda p: directory.categories(p.select("p_partkey", F.expr(_DIVISION).alias("division_name"), F.expr("CASE WHEN p_size % 2 = 0 THEN '10477' ELSE 'other' END").alias("league_id"))).select("p_partkey", "league_id", "category", "place"),
     "part",
     f"WITH d AS (SELECT p_partkey, {_DIVISION} AS n, CASE WHEN p_size % 2 = 0 THEN '10477' ELSE 'other' END AS league_id FROM part), f AS ("
-    + " UNION ALL ".join(f"SELECT p_partkey, league_id, '{g}' AS category FROM d WHERE league_id {'=' if k else '<>'} '10477' AND regexp_matches(n, '{p}')" for k, groups in directory.CATEGORIES.items() for g, p in groups.items())
-    + ") SELECT * FROM f UNION ALL SELECT p_partkey, league_id, 'Other' FROM d WHERE p_partkey NOT IN (SELECT p_partkey FROM f)",
+    + " UNION ALL ".join(f"SELECT p_partkey, league_id, '{g}' AS category, n FROM d WHERE league_id {'=' if k else '<>'} '10477' AND regexp_matches(n, '{p}')" for k, groups in directory.CATEGORIES.items() for g, p in groups.items())
+    + "), a AS (SELECT * FROM f UNION ALL SELECT p_partkey, league_id, 'Other', n FROM d WHERE p_partkey NOT IN (SELECT p_partkey FROM f)) SELECT p_partkey, league_id, category, row_number() OVER (PARTITION BY league_id, category ORDER BY lower(n), n) AS place FROM a",
 )
 _add(
     "j12_by_id_or_number",
@@ -240,17 +241,17 @@ def _boxes(nation):
 
 
 _add(
-    "s05_box_goals",
+    "s06_box_goals",
     lambda n: documents.box_score_goals(_boxes(n)).select("game_id", "seq", "period", "period_number", "game_seconds", "team_id", "is_home", "scorer_id", "scorer_number", "assist1_id", "pp"),
     "nation",
     "SELECT n_nationkey AS game_id, CAST(0 AS INTEGER) AS seq, '1st' AS period, CAST(1 AS INTEGER) AS period_number, CAST(180 AS INTEGER) AS game_seconds, 'h' || n_nationkey AS team_id, true AS is_home, 'p1' AS scorer_id, CAST(9 AS INTEGER) AS scorer_number, CAST(NULL AS VARCHAR) AS assist1_id, true AS pp FROM nation UNION ALL SELECT n_nationkey, 1001, 'OT', 4, NULL, 'v', false, 'p2', NULL, NULL, false FROM nation",
 )
-_add("s06_box_penalties", lambda n: documents.box_score_penalties(_boxes(n)).select("game_id", "period", "game_seconds", "team_id", "player_id", "served_by", "penalty", "penalty_class", "minutes", "is_major"), "nation", "SELECT n_nationkey AS game_id, '2nd' AS period, CAST(1470 AS INTEGER) AS game_seconds, 'v' AS team_id, 'p2' AS player_id, CAST(NULL AS VARCHAR) AS served_by, 'Hooking' AS penalty, 'Minor' AS penalty_class, CAST(2 AS INTEGER) AS minutes, false AS is_major FROM nation")
-_add("s07_box_rosters", lambda n: documents.box_score_rosters(_boxes(n)).select("game_id", "team_id", "player_id", "number", "name", "status", "g"), "nation", "SELECT n_nationkey AS game_id, 'h' || n_nationkey AS team_id, 'p1' AS player_id, CAST(9 AS INTEGER) AS number, 'A ' || n_name AS name, 'played' AS status, CAST(1 AS INTEGER) AS g FROM nation UNION ALL SELECT n_nationkey, 'v', 'p2', NULL, '', NULL, NULL FROM nation")
+_add("s07_box_penalties", lambda n: documents.box_score_penalties(_boxes(n)).select("game_id", "period", "game_seconds", "team_id", "player_id", "served_by", "penalty", "penalty_class", "minutes", "is_major"), "nation", "SELECT n_nationkey AS game_id, '2nd' AS period, CAST(1470 AS INTEGER) AS game_seconds, 'v' AS team_id, 'p2' AS player_id, CAST(NULL AS VARCHAR) AS served_by, 'Hooking' AS penalty, 'Minor' AS penalty_class, CAST(2 AS INTEGER) AS minutes, false AS is_major FROM nation")
+_add("s08_box_rosters", lambda n: documents.box_score_rosters(_boxes(n)).select("game_id", "team_id", "player_id", "number", "name", "status", "g"), "nation", "SELECT n_nationkey AS game_id, 'h' || n_nationkey AS team_id, 'p1' AS player_id, CAST(9 AS INTEGER) AS number, 'A ' || n_name AS name, 'played' AS status, CAST(1 AS INTEGER) AS g FROM nation UNION ALL SELECT n_nationkey, 'v', 'p2', NULL, '', NULL, NULL FROM nation")
 _PAGE = """'{"d": [{"date": "2024-01-0' || (n_regionkey + 1) || '", "games": [{"id": "g' || n_nationkey || '", "status": "FINAL", "homeTeam": {"id": "1", "name": "' || n_name || '"}, "visitor": {"id": "2", "title": "V"}}, {"id": "all", "date": "2024-02-02", "home": {"title": "T"}}, {"status": "x"}]}]}'"""
-_add("s11_schedule", lambda n: documents.schedule_games(n.select(F.expr(_PAGE).alias("json"))).select("game_id", "game_date", "status", "home_id", "home_name", "visitor_id", "visitor_name"), "nation", "SELECT 'g' || n_nationkey AS game_id, '2024-01-0' || (n_regionkey + 1) AS game_date, 'final' AS status, '1' AS home_id, n_name AS home_name, '2' AS visitor_id, 'V' AS visitor_name FROM nation UNION ALL SELECT 'all', '2024-02-02', 'scheduled', NULL, 'T', NULL, NULL")
+_add("s05_schedule", lambda n: documents.schedule_games(n.select(F.expr(_PAGE).alias("json"))).select("game_id", "game_date", "status", "home_id", "home_name", "visitor_id", "visitor_name"), "nation", "SELECT 'g' || n_nationkey AS game_id, '2024-01-0' || (n_regionkey + 1) AS game_date, 'final' AS status, '1' AS home_id, n_name AS home_name, '2' AS visitor_id, 'V' AS visitor_name FROM nation UNION ALL SELECT 'all', '2024-02-02', 'scheduled', NULL, 'T', NULL, NULL")
 _TABLE = """'[{"id": ' || r_regionkey || ', "title": "' || r_name || '", "tableData": {"teamIds": [5, 6, 7], "teamTitles": [{"title": "a"}, {"title": "b"}], "gp": [3], "pts": [4, 2]}}]'"""
-_add("s08_standings", lambda r: documents.standings_teams(r.select(F.expr(_TABLE).alias("json"))).select("division_id", "division", "team_id", "team_name", "gp", "pts"), "region", "SELECT CAST(r_regionkey AS BIGINT) AS division_id, r_name AS division, CAST(5 AS BIGINT) AS team_id, 'a' AS team_name, CAST(3 AS INTEGER) AS gp, CAST(4 AS INTEGER) AS pts FROM region UNION ALL SELECT CAST(r_regionkey AS BIGINT), r_name, 6, 'b', NULL, 2 FROM region")
+_add("s03_standings", lambda r: documents.standings_teams(r.select(F.expr(_TABLE).alias("json"))).select("division_id", "division", "team_id", "team_name", "gp", "pts"), "region", "SELECT CAST(r_regionkey AS BIGINT) AS division_id, r_name AS division, CAST(5 AS BIGINT) AS team_id, 'a' AS team_name, CAST(3 AS INTEGER) AS gp, CAST(4 AS INTEGER) AS pts FROM region UNION ALL SELECT CAST(r_regionkey AS BIGINT), r_name, 6, 'b', NULL, 2 FROM region")
 _add("m01_last_wins", lambda o: changes.last_wins(o, ["o_custkey"], [F.desc("o_orderdate"), F.desc("o_orderkey")]).select("o_custkey", "o_orderkey"), "orders", "SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders) WHERE n = 1")
 _add("m03_insert_or_ignore", lambda c: changes.insert_or_ignore(c.where("c_custkey % 2 = 0").selectExpr("c_custkey", "'old' AS v"), c.where("c_custkey % 3 = 0").selectExpr("c_custkey", "'new' AS v"), ["c_custkey"]), "customer", "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'old' ELSE 'new' END AS v FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0")
 _add("j16_fill_blanks", lambda c: changes.fill_blanks(c.selectExpr("c_custkey", "c_nationkey", "CASE WHEN c_custkey % 3 = 0 THEN ' ' ELSE c_name END AS name"), c.selectExpr("c_nationkey", "CASE WHEN c_custkey % 5 = 0 THEN '' ELSE c_mktsegment END AS name"), "c_nationkey", "name").select("c_custkey", "name"), "customer", "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN coalesce(least_name, ' ') ELSE c_name END AS name FROM customer LEFT JOIN (SELECT c_nationkey, min(c_mktsegment) AS least_name FROM customer WHERE c_custkey % 5 <> 0 GROUP BY ALL) USING (c_nationkey)")

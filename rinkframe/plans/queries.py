@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from ..functions import core
 from ..operators import changes, directory, logos, monitor, players, quality, resolve, strength, teams
 from ..sources import documents, pseudo
 from ..streaming import events
-from . import captures, clubs, corpus, lookups, stores
+from . import captures, clubs, corpus, lookups, resolving, stores
 
 #: The adapter of sources.pseudo as common table expressions.
 BASE = """
@@ -176,7 +178,8 @@ _add("a13_penalties_by_minutes", _q(lambda x: x.penalties.groupBy("season_id", "
 _add("d33_most_goals_in_game", _q(lambda x: x.goals.groupBy("season_id", "scorer_id", "game_id").agg(F.count("*").alias("n")).groupBy("season_id").agg(F.max("n").alias("most"))), "SELECT season_id, max(n) AS most FROM (SELECT season_id, scorer_id, game_id, count(*) AS n FROM goals GROUP BY ALL) GROUP BY ALL")
 # Quality
 _add("q01_number_consistency", _q(quality.number_consistency), ", w AS (SELECT season_id, scorer_id AS player_id, scorer_number AS number, team_id, count(DISTINCT game_id) AS games, count(*) AS goals FROM goals GROUP BY ALL) SELECT season_id, player_id, count(DISTINCT number) AS n_numbers, CAST(sum(games) AS BIGINT) AS total_games, string_agg(number || '(' || goals || 'g)', ',' ORDER BY number, goals) AS details, round(1e0 / count(DISTINCT number), 3) AS score FROM w GROUP BY season_id, player_id HAVING count(DISTINCT number) > 1")
-_add("q04_duplicate_numbers", _q(quality.duplicate_numbers), "SELECT season_id, team_id, scorer_number AS number, count(DISTINCT scorer_id) AS n_players, string_agg(DISTINCT scorer_id, ',' ORDER BY scorer_id) AS players FROM goals GROUP BY ALL HAVING count(DISTINCT scorer_id) > 1")
+# In every tenth game all of the first five numbers wear one.
+_add("q04_duplicate_numbers", _q(lambda x: quality.duplicate_numbers(dataclasses.replace(x, goals=x.goals.withColumn("scorer_number", F.when((F.col("game_id") % 10 == 3) & (F.col("scorer_number") < 5), 7).otherwise(F.col("scorer_number")))))), "SELECT season_id, team_id, number, count(DISTINCT scorer_id) AS n_players, string_agg(DISTINCT scorer_id, ',' ORDER BY scorer_id) AS players FROM (SELECT *, CASE WHEN game_id % 10 = 3 AND scorer_number < 5 THEN 7 ELSE scorer_number END AS number FROM goals) GROUP BY season_id, team_id, number HAVING count(DISTINCT scorer_id) > 1")
 _CONF = ", sc AS (SELECT season_id, team_id, scorer_id AS player_id, count(*) AS goals, count(DISTINCT game_id) AS games FROM goals GROUP BY ALL), ab AS (SELECT season_id, p AS player_id, count(*) AS assists FROM (SELECT season_id, assist1_id AS p FROM goals UNION ALL SELECT season_id, assist2_id FROM goals) WHERE p IS NOT NULL GROUP BY ALL), nu AS (SELECT season_id, scorer_id AS player_id, count(DISTINCT scorer_number) AS n FROM goals GROUP BY ALL), co AS (SELECT season_id, team_id, player_id, goals, coalesce(assists, 0) AS assists, games, n, goals + coalesce(assists, 0) BETWEEN 1 AND 99 AS ok FROM sc LEFT JOIN ab USING (season_id, player_id) LEFT JOIN nu USING (season_id, player_id)) "
 _add("q02_player_confidence", _q(quality.player_confidence), _CONF + "SELECT season_id, team_id, player_id, goals, assists, games, round(1e0 / n * 0.5e0 + 0.3e0 + CASE WHEN ok THEN 0.2e0 ELSE 0.1e0 END, 3) AS confidence, concat_ws(',', CASE WHEN n > 1 THEN 'many_numbers' END, CASE WHEN NOT ok THEN 'odd_total' END) AS flags FROM co")
 _GQ = ", gq AS (SELECT g.*, coalesce(n, 0) AS n_goals, home_score IS NULL OR visitor_score IS NULL AS missing, coalesce(home_score + visitor_score, 0) AS total FROM games g LEFT JOIN (SELECT game_id, count(*) AS n FROM goals GROUP BY ALL) USING (game_id) WHERE status = 'final') "
@@ -263,7 +266,7 @@ _add(
     "SELECT p_partkey, regexp_extract(line, '[0-9]+:[0-9]+') AS time, CASE " + " ".join(f"WHEN contains(line, '{k}') THEN '{k}'" for k in documents.PENALTIES) + f" ELSE 'Unknown' END AS penalty, CAST(p_partkey % 9 AS INTEGER) AS minutes FROM (SELECT p_partkey, {_LINE} AS line FROM part)",
     base=False,
 )
-_add("r04_jersey_match", _q(lambda x: resolve.match_by_number(players.usual_number(x), players.usual_number(x)).select("season_id", "team_id", "player_id", "matched_id")), _USUAL + "SELECT a.season_id, a.team_id, a.player_id, max(b.player_id) AS matched_id FROM us a JOIN us b USING (season_id, team_id, number) GROUP BY ALL")
+_add("r04_jersey_match", _q(lambda x: resolve.match_by_number(players.usual_number(x), players.usual_number(x).withColumn("number", F.floor(F.col("number") / 2) * 2)).select("season_id", "team_id", "player_id", "matched_id")), _USUAL + "SELECT a.season_id, a.team_id, a.player_id, max(b.player_id) AS matched_id FROM us a JOIN (SELECT season_id, team_id, player_id, CAST(floor(number / 2) AS BIGINT) * 2 AS number FROM us) b USING (season_id, team_id, number) GROUP BY ALL")
 _add("j15_jaccard", _q(lambda x: _rounded(resolve.roster_overlap(x.goals.select(F.concat_ws("_", "season_id", "team_id").alias("set_id"), "scorer_number"), x.penalties.select(F.concat_ws("_", "season_id", "team_id").alias("set_id"), F.col("player_number").alias("scorer_number")), "set_id", "scorer_number"), "overlap")), ", ga AS (SELECT DISTINCT season_id || '_' || team_id AS set_id, scorer_number AS m FROM goals), pa AS (SELECT DISTINCT season_id || '_' || team_id AS set_id, l_suppkey % 20 + CASE WHEN l_quantity = 1 THEN 50 ELSE 0 END AS m FROM events_ WHERE l_returnflag = 'R'), sh AS (SELECT set_id, count(*) AS n FROM ga JOIN pa USING (set_id, m) GROUP BY ALL), na AS (SELECT set_id, count(*) AS n FROM ga GROUP BY ALL), nb AS (SELECT set_id, count(*) AS n FROM pa GROUP BY ALL) SELECT set_id, round(coalesce(sh.n, 0) / CAST(na.n + nb.n - coalesce(sh.n, 0) AS DOUBLE), 6) AS overlap FROM na JOIN nb USING (set_id) LEFT JOIN sh USING (set_id)")
 _add("k08_table_counts", lambda spark, sf_dir: quality.table_counts({n: pseudo.read(spark, sf_dir, n) for n in ("orders", "lineitem", "nation", "part")}), "SELECT 'orders' AS name, count(*) AS n_rows FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'nation', count(*) FROM nation UNION ALL SELECT 'part', count(*) FROM part", base=False)
 for _name, _sql in corpus.QUESTIONS.items():
@@ -282,7 +285,7 @@ _add("t_windowed_events", _t(lambda e: events.windowed_counts(e).select(F.date_f
 _add("a20_league_summary", _q(lambda x: directory.league_summary(teams.record(x))), "SELECT season_id, count(DISTINCT division_id) AS n_divisions, count(*) AS n_teams, CAST(round(sum(gp) / 2e0) AS BIGINT) AS n_games FROM record GROUP BY season_id")
 _add("a22_box_score_share", _q(lambda x: x.games.join(x.goals.select("game_id").distinct().withColumn("has", F.lit(True)), "game_id", "left").groupBy("season_id").agg(F.count_if("has").alias("with_goals"), F.count("home_score").alias("scored")).withColumn("share", directory.share_text(F.col("with_goals"), F.col("scored")))), "SELECT *, CASE WHEN scored = 0 THEN 'N/A' ELSE printf('%.1f%%', with_goals * 100e0 / scored) END AS share FROM (SELECT season_id, CAST(count_if(h) AS BIGINT) AS with_goals, count(home_score) AS scored FROM games LEFT JOIN (SELECT DISTINCT game_id, true AS h FROM goals) USING (game_id) GROUP BY season_id)")
 _add("t06_schedule_changes", _q(lambda x: changes.schedule_changes(x.games.where("game_id % 11 <> 0").withColumn("status", F.when(F.col("game_id") % 7 == 0, "scheduled").otherwise(F.col("status"))), x.games, "1997-03-01")), "SELECT *, new_games + status_changes AS updated FROM (SELECT CAST(count_if(game_id % 11 = 0) AS BIGINT) AS new_games, abs(CAST(count_if(status = 'final') AS BIGINT) - CAST(count_if(status = 'final' AND game_id % 11 <> 0 AND game_id % 7 <> 0) AS BIGINT)) AS status_changes FROM games)")
-for _module in (clubs, captures, stores, lookups):
+for _module in (clubs, captures, stores, lookups, resolving):
     for _name, _make in _module.QUERIES.items():
         _add(_name, _make, _module.ORACLE[_name], base=_name in getattr(_module, "BASED", ()))
 

@@ -62,6 +62,15 @@ def schedule_games(pages: DataFrame, column: str = "json") -> DataFrame:
     return g.select(F.col("g.id").alias("game_id"), F.coalesce("g.date", "day").alias("game_date"), F.coalesce(F.lower("g.status"), F.lit("scheduled")).alias("status"), F.col("g.location").alias("location"), one("homeTeam", "home", "id").alias("home_id"), name("homeTeam", "home").alias("home_name"), one("visitorTeam", "visitor", "id").alias("visitor_id"), name("visitorTeam", "visitor").alias("visitor_name")).dropDuplicates(["game_id"])
 
 
+def schedule_teams(pages: DataFrame, order: str, column: str = "json") -> DataFrame:
+    """Teams of schedules by name, once each, where they come first: team_name and the page. order: a column that orders the pages."""
+    days = F.flatten(F.map_values(F.from_json(column, SCHEDULE)))
+    name = lambda g, a, b: F.coalesce(F.nullif(g[a]["name"], F.lit("")), F.nullif(g[a]["title"], F.lit("")), F.nullif(g[b]["title"], F.lit("")), g[b]["name"])
+    found = F.flatten(F.transform(F.flatten(F.transform(days, lambda d: d["games"])), lambda g: F.array(name(g, "homeTeam", "home"), name(g, "visitorTeam", "visitor"))))
+    rows = pages.select(order, F.posexplode(found).alias("place", "team_name")).where("coalesce(team_name, '') <> ''")
+    return rows.groupBy("team_name").agg(F.min_by(order, F.struct(order, "place")).alias(order))
+
+
 def games_in(json: Column) -> Column:
     """Games of a schedule page that have an id; 0 of an absent or broken page."""
     days = F.flatten(F.map_values(F.from_json(json, SCHEDULE)))
