@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import changes, league, logos, monitor, resolve
+from ..serving import Serving
 from ..sources import documents, pseudo, scratch
 
 QUERIES: dict = {}
@@ -197,3 +198,21 @@ WITH t AS (SELECT n_nationkey AS page, 0 AS place, n_name AS team_name FROM nati
 SELECT team_name, page FROM t QUALIFY row_number() OVER (PARTITION BY team_name ORDER BY page, place) = 1
 """,
 )
+_add(
+    "k09_served_games",
+    _league(lambda x: Serving(x).get("games/{id}").select("season_id", "game_id", "n_goals", "n_penalties", F.array_join(F.transform("goals", lambda g: g["scorer_id"]), ",").alias("scorers"))),
+    """
+SELECT season_id, game_id, coalesce(n, 0) AS n_goals, coalesce(m, 0) AS n_penalties, coalesce(x, '') AS scorers FROM games
+LEFT JOIN (SELECT game_id, count(*) AS n, string_agg(scorer_id, ',' ORDER BY period, scorer_id) AS x FROM goals GROUP BY game_id) USING (game_id) LEFT JOIN (SELECT game_id, count(*) AS m FROM penalties GROUP BY game_id) USING (game_id)
+""",
+    base=True,
+)
+_add(
+    "k09_served_teams",
+    _league(lambda x: Serving(x).get("teams/{id}/roster", id=3, season_id=1996).select("season_id", "team_id", "player_id", "place").union(Serving(x).get("teams/{id}/schedule", id=4, season_id=1995).select("season_id", "team_id", F.col("game_id").cast("string"), F.col("opponent_id")))),
+    """
+SELECT season_id, team_id, player_id, row_number() OVER (ORDER BY pts DESC, g DESC, player_id) AS place FROM players WHERE season_id = 1996 AND team_id = 3
+UNION ALL SELECT season_id, team_id, CAST(game_id AS VARCHAR), opponent_id FROM sides WHERE season_id = 1995 AND team_id = 4
+""",
+    base=True,
+)
