@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -28,39 +28,67 @@ def standings(league: League) -> DataFrame:
     return record(league).withColumn("place", F.row_number().over(order).cast("long")).withColumn("record", core.record(F.col("w"), F.col("l"), F.col("t")))
 
 
-def _against(league: League, events: DataFrame) -> DataFrame:
-    """Events by the team that they were against; those of neither side of their game are left out."""
+def _counts(league: League, events: DataFrame, counts: dict[str, tuple[bool, Column]]) -> DataFrame:
+    """Counts for every team, zeros without events, of events that are its own (True) or against it (False).
+
+    Events meet their games once and are one row for either side; what is against no side of
+    its game counts for its own team only.
+    """
     sides = league.games.select("season_id", "game_id", "home_id", "visitor_id").where("home_id <> visitor_id")
     against = F.when(F.col("by_id") == F.col("home_id"), F.col("visitor_id")).when(F.col("by_id") == F.col("visitor_id"), F.col("home_id"))
-    e = events.withColumnRenamed("team_id", "by_id").join(sides, ["season_id", "game_id"])
-    return e.withColumn("team_id", against).where("team_id is not null").drop("home_id", "visitor_id")
+    both = F.array(F.struct(F.col("by_id").alias("team_id"), F.lit(True).alias("mine")), F.struct(against.alias("team_id"), F.lit(False).alias("mine")))
+    e = events.withColumnRenamed("team_id", "by_id").join(sides, ["season_id", "game_id"], "left").select("*", F.inline(both)).where("team_id is not null")
+    found = e.groupBy(*KEY).agg(*[F.count_if((F.col("mine") == mine) & c).alias(n) for n, (mine, c) in counts.items()])
+    return league.teams.select(*KEY).join(found, KEY, "left").fillna(0, list(counts)).select(*KEY, *counts)
+
+
+def _goals(league: League) -> DataFrame:
+    return league.goals.select("season_id", "game_id", "team_id", "period", "pp", F.lit(False).alias("foul"))
+
+
+def _fouls(league: League) -> DataFrame:
+    """Penalties of two minutes or more."""
+    return league.penalties.where("minutes >= 2").select("season_id", "game_id", "team_id", F.lit(None).cast("string").alias("period"), F.lit(False).alias("pp"), F.lit(True).alias("foul"))
+
+
+def _period_counts() -> dict[str, tuple[bool, Column]]:
+    number = core.period_number(F.col("period"))
+    return {f"{n}_{kind}": (mine, ~F.col("foul") & (number == k)) for kind, mine in (("for", True), ("against", False)) for k, n in ((1, "p1"), (2, "p2"), (3, "p3"), (4, "ot"))}
+
+
+def _power_play_counts() -> dict[str, tuple[bool, Column]]:
+    return {"pp_goals": (True, F.col("pp")), "pp_chances": (False, F.col("foul"))}
+
+
+def _penalty_kill_counts() -> dict[str, tuple[bool, Column]]:
+    return {"pp_against": (False, F.col("pp")), "times_short": (True, F.col("foul"))}
+
+
+def _special(league: League) -> DataFrame:
+    return _goals(league).where("pp").unionByName(_fouls(league))
+
+
+def _with_pp_pct(df: DataFrame) -> DataFrame:
+    return df.withColumn("pp_pct", core.ratio(F.col("pp_goals"), F.col("pp_chances"), 100.0))
+
+
+def _with_pk_pct(df: DataFrame) -> DataFrame:
+    return df.withColumn("pk_pct", core.ratio(F.col("times_short") - F.col("pp_against"), F.col("times_short"), 100.0))
 
 
 def period_goals(league: League) -> DataFrame:
     """Goals for and against by period; labels that mean one period add up."""
-    number = core.period_number(F.col("period"))
-    names = {1: "p1", 2: "p2", 3: "p3", 4: "ot"}
-    count = lambda kind: [F.count_if(number == k).alias(f"{n}_{kind}") for k, n in names.items()]
-    own = league.goals.groupBy(*KEY).agg(*count("for"))
-    other = _against(league, league.goals.select("season_id", "game_id", "team_id", "period")).groupBy(*KEY).agg(*count("against"))
-    cols = [f"{n}_{kind}" for kind in ("for", "against") for n in names.values()]
-    return league.teams.select(*KEY).join(own, KEY, "left").join(other, KEY, "left").fillna(0, cols).select(*KEY, *cols)
+    return _counts(league, _goals(league), _period_counts())
 
 
 def power_play(league: League) -> DataFrame:
     """Goals with the extra player, chances (opponents' penalties of two minutes or more) and their percentage."""
-    goals = league.goals.where("pp").groupBy(*KEY).agg(F.count("*").alias("pp_goals"))
-    chances = _against(league, league.penalties.where("minutes >= 2").select("season_id", "game_id", "team_id")).groupBy(*KEY).agg(F.count("*").alias("pp_chances"))
-    out = league.teams.select(*KEY).join(goals, KEY, "left").join(chances, KEY, "left").fillna(0, ["pp_goals", "pp_chances"])
-    return out.withColumn("pp_pct", core.ratio(F.col("pp_goals"), F.col("pp_chances"), 100.0))
+    return _with_pp_pct(_counts(league, _special(league), _power_play_counts()))
 
 
 def penalty_kill(league: League) -> DataFrame:
     """Goals against while short, times short and the percentage survived."""
-    against = _against(league, league.goals.where("pp").select("season_id", "game_id", "team_id")).groupBy(*KEY).agg(F.count("*").alias("pp_against"))
-    short = league.penalties.where("minutes >= 2").groupBy(*KEY).agg(F.count("*").alias("times_short"))
-    out = league.teams.select(*KEY).join(against, KEY, "left").join(short, KEY, "left").fillna(0, ["pp_against", "times_short"])
-    return out.withColumn("pk_pct", core.ratio(F.col("times_short") - F.col("pp_against"), F.col("times_short"), 100.0))
+    return _with_pk_pct(_counts(league, _special(league), _penalty_kill_counts()))
 
 
 def splits(league: League) -> DataFrame:
@@ -101,9 +129,11 @@ def rest(league: League) -> DataFrame:
 
 def season_stats(league: League) -> DataFrame:
     """All of a team's season in one wide row."""
+    # Goals and penalties are read once and meet their games once, for all their counts.
+    events = _counts(league, _goals(league).unionByName(_fouls(league)), _period_counts() | _power_play_counts() | _penalty_kill_counts())
     out = record(league)
-    for part in (period_goals, power_play, penalty_kill, splits, recent_form, rest):
-        out = out.join(part(league), KEY, "left")
+    for part in (_with_pk_pct(_with_pp_pct(events)), splits(league), recent_form(league), rest(league)):
+        out = out.join(part, KEY, "left")
     return out
 
 
