@@ -38,7 +38,7 @@ from .words import LOWER
 #: Tokens in a block, about; a longer text is a block of its own.
 BLOCK_TOKENS = 1 << 22
 #: Words of blocks in a shuffle partition, about.
-PART_WORDS = 1 << 21
+PART_WORDS = 1 << 18
 #: What each piece counts for before it is fitted.
 PRIOR = 0.1
 #: Units of an expected count, so that sums are of integers and runs agree.
@@ -124,13 +124,19 @@ def _log_sum(terms: list[float]) -> float:
 
 
 def vocabulary(model_file: str) -> tuple[list[str], np.ndarray]:
-    """Pieces of a sentencepiece file and starting weights from their scores, which fall with the rank."""
+    """Pieces of a sentencepiece file and weights from their scores, which fall with the rank.
+
+    Single bytes have no rank of their own (their score is 0, the first rank's) and weigh as the last piece.
+    """
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=model_file)
     ids = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i))]
-    score = np.array([model.get_score(i) for i in ids])
-    weight = 1.0 / (2.0 - np.minimum(score, 0.0))
+    rank = -np.minimum([model.get_score(i) for i in ids], 0.0)
+    byte = np.array([model.is_byte(i) for i in ids])
+    # A rank is less than the number of pieces; what lies beyond is a mark of the file for pieces that merges do not reach.
+    rank[byte] = rank[~byte & (rank < len(ids))].max(initial=0.0)
+    weight = 1.0 / (2.0 + rank)
     return [model.id_to_piece(i) for i in ids], np.log(weight / weight.sum())
 
 

@@ -37,6 +37,26 @@ def test_forward_sums_over_all_segmentations():
     assert math.isclose(sum(len(pieces[k]) * x for k, x in counts.items()), len("▁station"))
 
 
+def test_bytes_weigh_as_the_last_piece():
+    pieces, log_p = lattice_lm.vocabulary(FILE)
+    p = dict(zip(pieces, log_p, strict=True))
+    ranked = [x for piece, x in p.items() if not piece.startswith("<0x") and x > math.log(1e-8)]
+    assert {p[f"<0x{b:02X}>"] for b in range(256)} == {min(ranked)}
+    assert math.isclose(sum(map(math.exp, log_p)), 1)
+
+
+def test_pieces_weigh_unseen_words(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "the cat sat") for i in range(10)] + [(10**6 + i, "quizzical the") for i in range(30)], "doc_id long, text string")
+    held = [r.doc_id for r in lattice_lm.score(docs.where("doc_id >= 1000000"), FILE).collect() if r.held_out]
+    docs = docs.where(f"doc_id < 1000000 or doc_id in ({','.join(map(str, held))})")
+    one = {r.doc_id: r for r in lattice_lm.score(docs, FILE).collect()}
+    pieces = lattice_lm.vocabulary(FILE)[0]
+    monkeypatch.setattr(lattice_lm, "vocabulary", lambda _: (pieces, np.full(len(pieces), -math.log(len(pieces)))))
+    two = {r.doc_id: r for r in lattice_lm.score(docs, FILE).collect()}
+    assert held and all(abs(one[i].score - two[i].score) > 0.1 for i in held)
+    assert all(abs(one[i].score - two[i].score) < 0.1 for i in one if i < 10)
+
+
 @pytest.mark.parametrize("rounds", [0, 2])
 def test_scores_against_brute_force(spark, monkeypatch, rounds):
     monkeypatch.setattr(lattice_lm, "BLOCK_TOKENS", 40)
