@@ -7,9 +7,10 @@ a bucket with one occurrence, whose windows all differ, holds no repeat. The cla
 into groups of bounded size. Each group sorts the suffixes of two shards of its
 segments and merges the two transforms by refining their interleave: a pass extends the
 known order by one symbol, and marks where neighbours come to differ. Suffixes that
-differ from all others are settled and take no part in later passes. When the prefixes
-known are `span` bytes long, the intervals left are the windows that repeat. A symbol
-is 16 bytes, taken at every offset, so that 25 passes see 400 bytes.
+differ from all others are settled and take no part in later passes; the pass in which
+that happens is the longest prefix that they have in common with another suffix. Where
+that prefix is `span` bytes long a window repeats. A symbol is 16 bytes, taken at every
+offset, so that 25 passes see 400 bytes.
 
 A bucket of more than `BUCKET_ROWS` classes is cut again by windows with longer grams,
 and at last by the windows themselves, so no bucket meets in one task.
@@ -136,21 +137,23 @@ class Shard:
 def merge(left: Shard, right: Shard, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Refine the interleave of two transforms for `depth` symbols.
 
-    Returns, in merged order, the shard and suffix of each row whose prefix of `depth`
-    symbols repeats, and the interval (block) it lies in.
+    Returns the common prefix of each suffix, those of the left shard first: the most symbols,
+    up to `depth`, that it begins with in common with any other. Then, in merged order, the
+    suffixes of which it is `depth`, and the interval (block) that each lies in.
     """
     shards = (left, right)
     # Rows are known by shard and place in it; before the first pass all prefixes are empty, hence equal.
     side = np.concatenate([np.zeros(left.n, np.int8), np.ones(right.n, np.int8)])
     place = np.concatenate([np.arange(left.n), np.arange(right.n)])
     block = np.zeros(len(side), np.int64)
-    symbols, suffixes = np.concatenate([left.symbols, right.symbols]), np.concatenate([left.suffixes, right.suffixes])
-    for _ in range(depth):
+    symbols, suffixes = np.concatenate([left.symbols, right.symbols]), np.concatenate([left.suffixes, right.suffixes + left.n])
+    common = np.zeros(len(side), np.int64)
+    for known in range(1, depth + 1):
         symbol = symbols[place + np.where(side == 1, left.n, 0)]
         keep = np.flatnonzero(symbol >= 0)
         order = keep[np.argsort(symbol[keep], kind="stable")]
         if not len(order):
-            return np.empty(0, np.int8), np.empty(0, np.int64), np.empty(0, np.int64)
+            return common, np.empty(0, np.int64), np.empty(0, np.int64)
         symbol, under = symbol[order], block[order]
         new = np.append(True, (symbol[1:] != symbol[:-1]) | (under[1:] != under[:-1]))
         block = np.cumsum(new) - 1
@@ -163,7 +166,10 @@ def merge(left: Shard, right: Shard, depth: int) -> tuple[np.ndarray, np.ndarray
         place = earlier
         alone = np.bincount(block)[block] == 1
         side, place, block = side[~alone], place[~alone], block[~alone]
-    return side, suffixes[place + np.where(side == 1, left.n, 0)], block
+        # Rows that are left begin with `known` symbols that another row begins with too.
+        rows = suffixes[place + np.where(side == 1, left.n, 0)]
+        common[rows] = known
+    return common, rows, block
 
 
 def _ranks(data: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -180,10 +186,10 @@ def _ranks(data: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.where(np.repeat(ends - 1, sizes) - np.arange(n) >= SYMBOL, ranks, -1)
 
 
-def repeated_windows(strings: list[bytes], weights: np.ndarray, span: int = SPAN) -> list[np.ndarray]:
-    """For each string, whether the window at each of its places has another occurrence.
+def common_prefixes(strings: list[bytes], weights: np.ndarray, span: int = SPAN) -> list[np.ndarray]:
+    """For each place of each string, how many symbols of 16 bytes, up to `span` bytes, begin another place too.
 
-    weights: how often each string occurs.
+    weights: how often each string occurs; one that occurs again has all that is left of it in common.
     """
     if not strings:
         return []
@@ -197,14 +203,18 @@ def repeated_windows(strings: list[bytes], weights: np.ndarray, span: int = SPAN
     cut = int(ends[half - 1])
     left = Shard(ranks[:cut], (ends - sizes)[:half], ends[:half], depth)
     right = Shard(ranks[cut:], (ends - sizes)[half:] - cut, ends[half:] - cut, depth)
-    side, suffix, block = merge(left, right, depth)
-    at = suffix + np.where(side == 1, cut, 0)
-    owner = np.repeat(np.arange(len(strings)), sizes)
-    found = np.repeat(weights > 1, sizes)
-    if len(at):
-        many = np.bincount(block, weights[owner[at]])[block]
-        found[at[many > 1]] = True
-    return [found[e - n : e - span] if n > span else found[:0] for e, n in zip(ends, sizes, strict=True)]
+    common, _, _ = merge(left, right, depth)
+    rest = np.minimum((np.repeat(ends - 1, sizes) - np.arange(len(data))) // SYMBOL, depth)
+    common = np.where(np.repeat(weights > 1, sizes), rest, common)
+    return [common[e - n : e - 1] for e, n in zip(ends, sizes, strict=True)]
+
+
+def repeated_windows(strings: list[bytes], weights: np.ndarray, span: int = SPAN) -> list[np.ndarray]:
+    """For each string, whether the window at each of its places has another occurrence.
+
+    weights: how often each string occurs.
+    """
+    return [(c == span // SYMBOL)[: max(len(s) - span + 1, 0)] for c, s in zip(common_prefixes(strings, weights, span), strings, strict=True)]
 
 
 def runs(flags: np.ndarray) -> list[tuple[int, int]]:

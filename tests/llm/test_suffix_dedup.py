@@ -76,5 +76,37 @@ def test_merge_finds_repeated_windows():
         assert flags.tolist() == [seen[s[p : p + 400]] > 1 for p in range(len(s) - 399)]
 
 
+@pytest.mark.parametrize("span", [400, 48])
+def test_common_prefixes_against_brute_force(span):
+    rng = np.random.default_rng(span)
+    base = bytes(rng.choice(list(b"abc"), 2000))
+    strings = [base[i : i + int(n)] for i, n in zip(rng.integers(0, 1500, 24), rng.integers(1, 600, 24), strict=True)] + [b"", b"q" * 200, bytes(rng.choice(list(b"xyz"), 500))]
+    weights = rng.integers(1, 3, len(strings))
+    seen = Counter()
+    for s, w in zip(strings, weights, strict=True):
+        for p in range(len(s)):
+            for k in range(16, min(span, len(s) - p) + 1, 16):
+                seen[s[p : p + k]] += int(w)
+    for s, got in zip(strings, sd.common_prefixes(strings, weights, span), strict=True):
+        assert got.tolist() == [max([k // 16 for k in range(16, min(span, len(s) - p) + 1, 16) if seen[s[p : p + k]] > 1], default=0) for p in range(len(s))]
+
+
+def test_intervals_hold_equal_prefixes():
+    rng = np.random.default_rng(2)
+    base = bytes(rng.choice(list(b"ab"), 400))
+    strings = [base[k : k + 200] for k in (0, 30, 60, 250)]
+    sizes = np.array([len(s) + 1 for s in strings])
+    ends = np.cumsum(sizes)
+    data = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8)
+    ranks, cut = sd._ranks(data, ends, sizes), int(ends[1])
+    shards = sd.Shard(ranks[:cut], (ends - sizes)[:2], ends[:2], 3), sd.Shard(ranks[cut:], (ends - sizes)[2:] - cut, ends[2:] - cut, 3)
+    common, rows, block = sd.merge(*shards, 3)
+    by_string = {}
+    for r, b in zip(rows.tolist(), block.tolist(), strict=True):
+        by_string.setdefault(bytes(data[r : r + 48]), set()).add(b)
+    assert sorted(rows.tolist()) == np.flatnonzero(common == 3).tolist()
+    assert all(len(b) == 1 for b in by_string.values()) and len(set.union(*by_string.values())) == len(by_string)
+
+
 def test_empty_table(spark):
     assert sd.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
