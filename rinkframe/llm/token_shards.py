@@ -36,6 +36,8 @@ ROOM = 2.0
 CACHED_WORDS, ENCODED_BYTES = 800_000, 1 << 23
 #: Documents that are looked up and read at once.
 READ_DOCS = 4096
+#: Bytes of text and documents of a shard, about, beyond the session's own number of shards.
+SHARD_BYTES, SHARD_DOCS = 1 << 28, 1 << 20
 
 
 class PerfectHash:
@@ -256,10 +258,15 @@ class Encoder:
 
 
 def write(docs: DataFrame, tokenizer_file: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 0) -> DataFrame:
-    """Write docs as shards in ascending key order; returns the manifest, one row per shard."""
+    """Write docs as shards in ascending key order; returns the manifest, one row per shard.
+
+    Shards are bounded by bytes of text and by documents, and with them an index, so that their
+    number grows with the corpus; only one key's documents are never parted.
+    """
     spark = docs.sparkSession
     folder = storage.new_folder(spark, "tokens")
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    total = docs.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.octet_length(F.col(text).cast("string"))), F.lit(0)).alias("bytes")).first()
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), total["bytes"] // SHARD_BYTES, total["docs"] // SHARD_DOCS)
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -294,7 +301,9 @@ def write(docs: DataFrame, tokenizer_file: str, doc_id: str = "doc_id", text: st
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((TaskContext.get().partitionId(), path, width, len(ends) - 1, int(ends[-1]), last), (pa.int64(), pa.string(), *[pa.int64()] * 4), strict=True)], names=["shard", "path", "width", "n_docs", "n_tokens", "last_key"])
 
     key = F.col("doc_id").asc_nulls_first()
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).repartitionByRange(n, key).sortWithinPartitions(key, "text")
+    # Documents without a key are in no index, so they may spread over shards; those of one key stay together.
+    spread = F.when(F.col("doc_id").isNull(), F.substring("text", 1, 64)).asc_nulls_first()
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).repartitionByRange(n, key, spread).sortWithinPartitions(key, "text")
     return storage.table(rows.mapInArrow(shard, "shard long, path string, width long, n_docs long, n_tokens long, last_key long"), "manifest")
 
 
@@ -349,7 +358,8 @@ def read(manifest: DataFrame) -> DataFrame:
 def get(manifest: DataFrame, keys: DataFrame, key: str = "doc_id") -> DataFrame:
     """Documents by key, one row for each document of each distinct key that the shards hold: doc_id, ids.
 
-    Keys find their shard by its last key (one number a shard, sorted, in the task), then
+    Keys find their shard by its last key (one number and path a shard, of SHARD_BYTES or more
+    of text, sorted, at the driver and in the task), then
     their slot in the shard's hash; only their documents' ids are read from the payload.
     """
     shards = manifest.where("last_key is not null").orderBy("last_key").select("shard", "path", "width", "last_key").toPandas()

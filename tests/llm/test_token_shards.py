@@ -27,6 +27,22 @@ def test_shards_against_direct_encoding(spark):
     assert sorted(map(tuple, got), key=lambda r: r[1]) == want
 
 
+def test_shards_grow_with_the_texts_and_keyless_rows_spread(spark, monkeypatch):
+    monkeypatch.setattr(token_shards, "SHARD_BYTES", 300)
+    rows = [(None, f"{chr(97 + i % 26)} keyless {i}") for i in range(300)] + [(i // 3, f"keyed {i}") for i in range(300)]
+    manifest = token_shards.write(spark.createDataFrame(rows, "doc_id long, text string"), FILE)
+    shards = manifest.orderBy("shard").collect()
+    assert len(shards) > 12 and sum(s.n_docs for s in shards) == 600 and max(s.n_docs for s in shards) < 150
+    assert sum(s.last_key is None for s in shards) > 2, "shards of keyless rows alone"
+    got = sorted(map(tuple, token_shards.read(manifest).collect()), key=lambda r: r[1])
+    want, start = [], 0
+    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        ids = direct(t)
+        want.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    assert got == want
+
+
 def test_index_knows_absent_keys():
     keys = np.arange(0, 40000, 4, dtype=np.int64) - 999
     index = token_shards.Index.from_bytes(token_shards.Index(keys, 0, np.arange(len(keys) + 1)).to_bytes())
