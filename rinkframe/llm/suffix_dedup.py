@@ -146,8 +146,8 @@ def merge(left: Shard, right: Shard, depth: int) -> tuple[np.ndarray, np.ndarray
     side = np.concatenate([np.zeros(left.n, np.int8), np.ones(right.n, np.int8)])
     place = np.concatenate([np.arange(left.n), np.arange(right.n)])
     block = np.zeros(len(side), np.int64)
-    symbols, suffixes = np.concatenate([left.symbols, right.symbols]), np.concatenate([left.suffixes, right.suffixes + left.n])
-    common = np.zeros(len(side), np.int64)
+    symbols = np.concatenate([left.symbols, right.symbols])
+    common = np.zeros(len(side), np.int16)
     for known in range(1, depth + 1):
         symbol = symbols[place + np.where(side == 1, left.n, 0)]
         keep = np.flatnonzero(symbol >= 0)
@@ -159,15 +159,15 @@ def merge(left: Shard, right: Shard, depth: int) -> tuple[np.ndarray, np.ndarray
         block = np.cumsum(new) - 1
         # The row of the suffix that begins one symbol earlier.
         side = side[order]
-        earlier = np.empty(len(order), np.int64)
+        earlier, rows = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
         for k, shard in enumerate(shards):
             mine = side == k
-            earlier[mine] = shard.place[shard.suffixes[place[order[mine]]] - SYMBOL]
+            suffix = shard.suffixes[place[order[mine]]] - SYMBOL
+            earlier[mine], rows[mine] = shard.place[suffix], suffix + k * left.n
         place = earlier
-        alone = np.bincount(block)[block] == 1
-        side, place, block = side[~alone], place[~alone], block[~alone]
+        again = np.bincount(block)[block] > 1
+        side, place, block, rows = side[again], place[again], block[again], rows[again]
         # Rows that are left begin with `known` symbols that another row begins with too.
-        rows = suffixes[place + np.where(side == 1, left.n, 0)]
         common[rows] = known
     return common, rows, block
 
