@@ -53,6 +53,15 @@ def test_players_by_id_or_number(spark):
     assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_numbers_that_many_wear_join_no_events(spark):
+    roster = spark.createDataFrame([("t", "p1", 7), ("t", "p2", 7), ("t", "p3", None), ("t", None, 7), ("t", "p2", 7), ("t", "p4", 9)], "team string, player_id string, number int")
+    events = spark.createDataFrame([("t", 1, "p1", 7), ("t", 1, "p1", 7), ("t", 2, "p1", 8), ("t", 3, "p3", 7), ("t", None, "p2", 7), ("t", None, "p2", None), ("t", 1, "p3", 5)], "team string, event_id long, scorer_id string, scorer_number int")
+    out = directory.scored_by(roster, events)
+    assert {r.player_id: r.goals for r in out.collect()} == {"p1": 4, "p2": 3, "p3": 2, None: 3}
+    joins = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in x]
+    assert joins and not [x for x in joins if "number#" in x]
+
+
 def test_upserts_with_null_keys(spark):
     old = spark.createDataFrame([("a", None, "old"), ("b", 1, "old")], "name string, team_id int, role string")
     new = spark.createDataFrame([("a", None, "new"), ("c", None, None)], "name string, team_id int, role string")
