@@ -33,3 +33,29 @@ def test_best_overlap_joins_no_members(spark):
     rows = spark.range(2000).selectExpr("'A' AS block", "id % 50 AS set_id", "id % 40 AS member")
     plan = resolve.best_overlap(rows, rows, "block", "set_id", "member")._jdf.queryExecution().optimizedPlan().toString()
     assert not [x for x in plan.splitlines() if "Join" in x and "member#" in x]
+
+
+@pytest.mark.parametrize("keys", [0, 8, 60, 2000])
+def test_similar_names_against_brute_force(spark, keys):
+    from difflib import SequenceMatcher
+
+    draw = random.Random(5)
+    word = lambda: "".join(draw.choices("abc" if draw.random() < 0.3 else "abcdefgh", k=draw.choice([0, 1, 2, 3, 5, 8, 12, 17, 24])))
+    right = [word() for _ in range(80)]
+
+    def typed(x):
+        x = list(x)
+        for _ in range(draw.randrange(5)):
+            at = draw.randrange(len(x) + 1)
+            x[at : at + draw.randrange(2)] = draw.choice(["", "z", "a"])
+        return "".join(x)
+
+    left = [typed(draw.choice(right)) for _ in range(80)] + [word() for _ in range(40)]
+    for least in (0.6, 0.8):
+        want = {}
+        for x in set(left):
+            near = sorted((-r, y) for y in set(right) if (r := SequenceMatcher(None, x, y).ratio()) >= least)
+            if near:
+                want[x] = near[0][1], -near[0][0]
+        got = resolve.fuzzy_match(spark.createDataFrame([(x,) for x in left] + [(None,)], "name string"), spark.createDataFrame([(x,) for x in right], "other string"), least, keys).collect()
+        assert {r.name: (r.other, r.similarity) for r in got} == want and len(got) == len(want)
