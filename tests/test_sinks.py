@@ -163,3 +163,25 @@ def test_integrity_reads_each_table_once(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("ReusedExchange") == 1
     assert plan.count("FileScan parquet") == 4
+
+
+def test_appends_leave_rows_in_their_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "FOLDERS", 4)
+    t = tables.KeyedTable(spark, f"file://{tmp_path}/t", ["id"], buckets=2)
+    rows = lambda low, high: spark.range(low, high).selectExpr("nullif(id, 0) AS id", f"{high} AS made")
+    t.append(rows(0, 100), "a")
+    first = set(t.manifest()["folders"].values())
+    t.append(rows(0, 103), "b")
+    read = lambda: sorted(((r.id, r.made) for r in t.read().collect()), key=str)
+    want = [(k or None, 100 if k < 100 else 103) for k in range(103)]
+    assert read() == sorted(want, key=str) and first <= set(t._named(t.manifest()))
+    assert sum(t.spark.read.parquet(f"{t.path}/{f}").count() for f in set(t.manifest()["folders"].values()) - first) == 3
+    t.append(rows(5, 50), "c")
+    assert read() == sorted(want, key=str) and first <= set(t._named(t.manifest()))
+    for k in range(6):
+        t.append(rows(0, 110 + 10 * k), f"d{k}")
+        t.rotate(1)
+    assert len(read()) == 160 and len(t._named(t.manifest())) <= 8
+    # Other types of columns: written anew.
+    t.append(spark.createDataFrame([(500, 7)], "id long, made long"), "e")
+    assert len(read()) == 161 and dict(t.read().dtypes)["made"] == "bigint"
