@@ -133,3 +133,16 @@ def test_calendar(spark):
     html = '<ul class="x games-slider-inner"><li id="slider_day_2024_01_15"><a href="/d/1">x</a></li><li id="slider_day_2024_1_1"><a href="/no">x</a></li><li id="slider_day_2024_01_16"></li></ul><li id="slider_day_2024_01_17"><a href="/no">x</a>'
     out = pages.calendar_dates(frame(spark, html, None, ""), "https://l.org").collect()
     assert [(r.page, r.day, r.url) for r in out] == [(0, "2024_01_15", "https://l.org/d/1")]
+
+
+def test_few_pages_are_objects_at_once(monkeypatch):
+    made = []
+    monkeypatch.setattr(markup, "PAGES", 3)
+    monkeypatch.setattr(markup.F, "arrow_udf", lambda _: lambda f: made.append(f) or (lambda c: c))
+    markup.tables_of("html")
+    build, sizes = markup.pa.array, []
+    monkeypatch.setattr(markup.pa, "array", lambda x, t: sizes.append(len(x)) or build(x, t))
+    html = [f"<table><tr><td>{k}</td></tr></table>" if k % 4 else None for k in range(8)]
+    out = made[0](build(html, markup.pa.string())).to_pylist()
+    assert [[t["rows"][0]["cells"][0]["text"] for t in p] for p in out] == [[str(k)] if k % 4 else [] for k in range(8)]
+    assert len(made[0](build([], markup.pa.string()))) == 0 and max(sizes) == 3
