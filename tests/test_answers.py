@@ -115,3 +115,11 @@ def test_picture(spark):
     df = rows(spark, "name string", ("The BEARS U10",), ("tri  county",), (None,), ("x",))
     out = df.select(logos.picture(F.col("name"), {"bears": "b.svg"}, {r"tri\s*county": "t.svg", "bear": "c.svg"}).alias("p")).collect()
     assert [r.p for r in out] == ["b.svg", "t.svg", None, None]
+
+
+def test_numbers_of_children_alone_make_no_arrays(spark):
+    parents = spark.createDataFrame([(1,), (2,)], "id long")
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c")], "parent long, name string")
+    out = answers.nested(parents, "id", {"x": answers.Children(rows, "parent", ["name"])}).select("id", "n_x")
+    assert sorted(map(tuple, out.collect())) == [(1, 2), (2, 0)]
+    assert "collect_list" not in out._jdf.queryExecution().optimizedPlan().toString()
